@@ -1,10 +1,12 @@
 """URL canonicalisation.
 
-Common URL shapes are handled by a Column expression. Everything else goes to
-an Arrow-batched UDF over the standard library's URL functions; rows that the
-expression already answered reach the UDF as NULL, so it only works on the rest.
+A URL that already has canonical shape only needs its fragment cut off, which
+is a Column expression. Everything else goes to an Arrow-batched UDF over the
+standard library's URL functions; rows that the expression answered reach the
+UDF as NULL, so it only works on the rest.
 """
 
+import re
 from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
@@ -12,11 +14,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from hopdex.functions.text import SPACE_CLASS, let
-
 # Accepted schemes with the port that is left out of the result.
 DEFAULT_PORTS = {"http": 80, "https": 443}
 
+# Lower-case ASCII host without port, a path, printable characters only. No ';'
+# (the standard library may drop it); '/.' is tested apart, as it may be a dot
+# segment. The same text is valid for Java and for Python.
+_PATH = r"[!\"$-:<->@-~¡-ɏ]"
+_QUERY = r"[!\"$-:<-~¡-ɏ]"
+_FRAGMENT = r"[!-:<-~¡-ɏ]"
+_END = r"(?![\s\S])"
+PLAIN = rf"^https?://[a-z0-9.-]+/{_PATH}*(?:\?{_QUERY}+)?(?:#{_FRAGMENT}*)?{_END}"
+PLAIN_SITE = rf"^(https?://[a-z0-9.-]+)(?:[/?#]|{_END})"
+
+_site = re.compile(PLAIN_SITE)
+_plain = re.compile(PLAIN)
+
+
+def page_links(hrefs: list[str | None], page_url: str) -> list[str]:
+    """Canonical targets of a page's links: usable ones only, first of each kept."""
+    site = _site.match(page_url)
+    found = {}
+    for href in hrefs:
+        rooted = site and href and href[0] == "/" and href[1:2] != "/"
+        target = site[1] + href if rooted else ""
+        if _plain.match(target) and "/." not in target:
+            found[target.partition("#")[0]] = None
+        else:
+            found[canonical_url(href, page_url)] = None
+    found.pop(None, None)
+    return list(found)
+
 
 def canonical_url(raw: str | None, base: str | None = None) -> str | None:
     """One URL, absolute or relative to `base`; None when it is not a web URL."""
@@ -45,69 +73,20 @@ def _canonical_udf(raw: pd.Series, base: pd.Series) -> pd.Series:
     )
 
 
-# The plain shape: ASCII host, optional short port, no white space or control
-# characters anywhere and no ';' (the standard library treats it specially).
-_SAFE = rf"[^?#;{SPACE_CLASS}\x00-\x20\x7f]"
-_SAFE_QUERY = rf"[^#;{SPACE_CLASS}\x00-\x20\x7f]"
-_SAFE_TAIL = rf"[^;{SPACE_CLASS}\x00-\x20\x7f]"
-_ABSOLUTE = (
-    rf"(?i)^(https?)://([a-z0-9.-]+)(?::([0-9]{{1,5}}))?(/{_SAFE}*)?"
-    rf"(?:\?({_SAFE_QUERY}*))?(?:#{_SAFE_TAIL}*)?$"
-)
-# Rooted at the host, no dot segments to resolve.
-_ROOTED = rf"^/(?!/)(?!{_SAFE}*/\.)(?!\.){_SAFE}*(?:\?{_SAFE_QUERY}*)?(?:#{_SAFE_TAIL}*)?$"
-
-
-def native_absolute(url: Column) -> Column:
-    """struct<known, url>: `known` is false when the shape is not plain."""
-    def answer(raw):
-        def group(i):
-            return F.regexp_extract(raw, _ABSOLUTE, i)
-
-        scheme = F.lower(group(1))
-        port = F.nullif(group(3), F.lit("")).cast("int")
-        default = F.when(scheme == "http", DEFAULT_PORTS["http"]).otherwise(
-            DEFAULT_PORTS["https"]
-        )
-        shown = F.when((port != 0) & (port != default), F.concat(F.lit(":"), port.cast("string")))
-        query = F.when(group(5) != "", F.concat(F.lit("?"), group(5)))
-        whole = F.concat(
-            scheme,
-            F.lit("://"),
-            F.lower(group(2)),
-            F.coalesce(shown, F.lit("")),
-            F.coalesce(F.nullif(group(4), F.lit("")), F.lit("/")),
-            F.coalesce(query, F.lit("")),
-        )
-        return F.struct(
-            F.lit(True).alias("known"),
-            F.when(F.coalesce(port, F.lit(0)) <= 65535, whole).alias("url"),
-        )
-
-    unknown = F.struct(F.lit(False).alias("known"), F.lit(None).cast("string").alias("url"))
-    return let(url, lambda raw: F.when(F.rlike(raw, F.lit(_ABSOLUTE)), answer(raw)).otherwise(unknown))
-
-
-def site_root(base: Column) -> Column:
-    """`scheme://host[:port]` of a plain page URL, else empty."""
-    return F.regexp_extract(base, r"(?i)^(https?://[a-z0-9.-]+(?::[0-9]{1,5})?)(?:[/?#]|$)", 1)
-
-
-def native_link(href: Column, base_root: Column) -> Column:
-    """As native_absolute, for a link found on a page with that site root."""
-    rooted = F.rlike(href, F.lit(_ROOTED))
-    joined = F.when(rooted, F.concat(base_root, href)).otherwise(href)
-    return native_absolute(F.when(base_root != "", joined))
-
-
 def normalize_url(raw: Column, base: Column | None = None) -> Column:
-    """Canonical form of a column of raw URLs, NULL for anything unusable."""
+    """Canonical form of a column of raw URLs, NULL for anything unusable.
+
+    With `base`, links relative to that page URL are resolved first.
+    """
     if base is None:
-        native, against = native_absolute(raw), F.lit(None).cast("string")
+        target, against = raw, F.lit(None).cast("string")
     else:
-        native, against = native_link(raw, site_root(base)), base
-    rest = _canonical_udf(F.when(~F.coalesce(native["known"], F.lit(False)), raw), against)
-    return F.coalesce(native["url"], rest)
+        site = F.regexp_extract(base, PLAIN_SITE, 1)
+        rooted = F.startswith(raw, F.lit("/")) & ~F.startswith(raw, F.lit("//"))
+        target, against = F.when(site != "", F.when(rooted, F.concat(site, raw)).otherwise(raw)), base
+    plain = F.rlike(target, F.lit(PLAIN)) & ~F.contains(target, F.lit("/."))
+    native = F.when(plain, F.substring_index(target, "#", 1))
+    return F.coalesce(native, _canonical_udf(F.when(native.isNull(), raw), against))
 
 
 def host_of(url: Column) -> Column:

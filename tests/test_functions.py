@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hopdex.functions.text import collapse_ws, field_counts, letter_of, term_counts, tokenize
-from hopdex.functions.urls import canonical_url, native_absolute, native_link, normalize_url, site_root
+from hopdex.functions.urls import canonical_url, normalize_url, page_links
 
 ABSOLUTE = [
     ("", None),
@@ -76,7 +76,7 @@ def test_relative_urls(spark):
 
 PIECES = [
     "http", "HTTPS", "://", ":", "/", "//", "?", "#", "..", ".", ";", "a", "B", "é", "80", "443",
-    "081", "70000", "@", "[", "]", " ", "\t", "&", "=", "%20", "x.y", "-", "　",
+    "081", "70000", "@", "[", "]", " ", "\t", "\n", "&", "=", "%20", "x.y", "-", "　",
 ]
 STARTS = ["http://", "https://", "HTTP://", "//", "/", "", "http://a", "https://b.c/"]
 
@@ -96,14 +96,15 @@ def test_native_urls_agree_with_the_standard_library(spark, seed):
     )
     out = rows.select(
         "raw", "base",
-        native_absolute(F.col("raw")).alias("alone"),
-        native_link(F.col("raw"), site_root(F.col("base"))).alias("joined"),
+        normalize_url(F.col("raw")).alias("alone"),
+        normalize_url(F.col("raw"), F.col("base")).alias("joined"),
     ).collect()
     for r in out:
-        if r.alone.known:
-            assert r.alone.url == canonical_url(r.raw), r
-        if r.joined.known:
-            assert r.joined.url == canonical_url(r.raw, r.base), r
+        assert r.alone == canonical_url(r.raw), r
+        assert r.joined == canonical_url(r.raw, r.base), r
+        links = page_links([r.raw, r.base, r.raw], r.base)
+        want = dict.fromkeys([canonical_url(r.raw, r.base), canonical_url(r.base, r.base)])
+        assert links == [u for u in want if u], r
 
 
 def test_tokens_and_counts(spark):
