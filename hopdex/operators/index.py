@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hopdex.functions.text import field_counts, letter_of, term_counts, tokenize
 from hopdex.operators.extract import is_success
-from hopdex.operators.joins import match_join
+from hopdex.operators.joins import is_small, match_join
 from hopdex.schemas import WORD_ENTRIES, WORD_ENTRY_KEY
 
 
@@ -32,7 +32,13 @@ def build_word_entries(pages: DataFrame, discoveries: DataFrame) -> DataFrame:
     counted = pages.filter(is_success()).select(
         "url", term_counts(tokenize(F.col("text"))).alias("counts")
     )
-    joined = match_join(provenance, counted, ["url"], ["origin_url", "depth"], small_rows=0)
+    if is_small(discoveries):
+        joined = counted.join(F.broadcast(provenance), "url")
+    else:
+        joined = match_join(
+            provenance, counted, ["url"], ["origin_url", "depth"],
+            broadcast=None, left_counts=discoveries,
+        )
     return joined.select("url", "origin_url", "depth", F.inline("counts")).select(
         F.col("term").alias("word"), "url", "origin_url", "depth", F.col("n").alias("frequency")
     )

@@ -14,43 +14,74 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _hot_keys(df: DataFrame, on: list[str], hot_rows: int, name: str) -> DataFrame | None:
+    """Keys with more than `hot_rows` rows and the number of pieces to cut them in.
+
+    Reads only the key columns; has at most (rows / hot_rows) rows.
+    """
+    hot = (
+        df.groupBy(*on)
+        .agg(F.count("*").alias("_n"))
+        .filter(F.col("_n") > hot_rows)
+        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias(name))
+    )
+    return None if hot.isEmpty() else F.broadcast(hot)
+
+
+def _cut(df: DataFrame, hot: DataFrame, on: list[str], name: str, by: list[str]) -> DataFrame:
+    """Give every row one piece number of its key."""
+    pieces = F.coalesce(name, F.lit(1))
+    cut = df.join(hot, on, "left").withColumn("_at", F.pmod(F.xxhash64(*by), pieces).cast("int"))
+    return cut.drop(name).withColumnRenamed("_at", name)
+
+
+def _repeat(df: DataFrame, hot: DataFrame, on: list[str], name: str) -> DataFrame:
+    """Repeat every row once for each piece of its key."""
+    last = F.coalesce(name, F.lit(1)) - 1
+    repeated = df.join(hot, on, "left").withColumn("_at", F.explode(F.sequence(F.lit(0), last)))
+    return repeated.drop(name).withColumnRenamed("_at", name)
+
+
 def match_join(
-    many: DataFrame,
-    few: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
     on: list[str],
-    spread_by: list[str],
+    left_spread: list[str] | None = None,
+    right_spread: list[str] | None = None,
     how: str = "inner",
+    broadcast: str | None = "right",
+    left_counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     small_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join a large table to a table with few rows per key.
+    """Equi-join of tables of any size and any skew.
 
-    A small right side is broadcast after its size has been checked. Otherwise
-    every key with more than `hot_rows` rows on the left is split by a hash of
-    `spread_by`, and its right-side rows are repeated once per piece. `how` may
-    be "inner" or "left".
+    The side named by `broadcast` is broadcast if a check finds it small.
+    Otherwise both sides are shuffled, and a key with more than `hot_rows` rows on
+    a side is cut into pieces there by a hash of that side's spread columns, while
+    the matching rows of the other side are repeated once per piece. A side
+    without spread columns has few rows per key. `left_counts` may name a cheaper
+    table with the same keys to count. `how` is "inner", or "left" for a join that
+    only cuts the left side.
     """
-    if is_small(few, small_rows):
-        return many.join(F.broadcast(few), on, how)
-    # At most (rows of `many` / hot_rows) keys, and only the key columns are read.
-    hot = (
-        many.groupBy(*on)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
-    )
-    if is_small(hot, 0):
-        return many.join(few, on, how)
-    hot = F.broadcast(hot)
-    pieces = F.coalesce("_pieces", F.lit(1))
-    left = many.join(hot, on, "left").withColumn(
-        "_piece", F.pmod(F.xxhash64(*spread_by), pieces).cast("int")
-    )
-    right = few.join(hot, on, "left").withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0), pieces - 1))
-    )
-    joined = left.drop("_pieces").join(right.drop("_pieces"), on + ["_piece"], how)
-    return joined.drop("_piece")
+    if broadcast == "right" and is_small(right, small_rows):
+        return left.join(F.broadcast(right), on, how)
+    if broadcast == "left" and is_small(left, small_rows):
+        return F.broadcast(left).join(right, on, how)
+    keys = list(on)
+    if left_spread:
+        hot = _hot_keys(left if left_counts is None else left_counts, on, hot_rows, "_left_piece")
+        if hot is not None:
+            left = _cut(left, hot, on, "_left_piece", left_spread)
+            right = _repeat(right, hot, on, "_left_piece")
+            keys.append("_left_piece")
+    if right_spread:
+        hot = _hot_keys(right, on, hot_rows, "_right_piece")
+        if hot is not None:
+            right = _cut(right, hot, on, "_right_piece", right_spread)
+            left = _repeat(left, hot, on, "_right_piece")
+            keys.append("_right_piece")
+    return left.join(right, keys, how).drop("_left_piece", "_right_piece")
 
 
 def drop_known(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
@@ -83,5 +114,5 @@ def newest_wide(df: DataFrame, key: str, by: str) -> DataFrame:
         .filter("_copies > 1")
         .select(key, "_last")
     )
-    joined = match_join(df, repeated, [key], [by], "left")
+    joined = match_join(df, repeated, [key], [by], how="left")
     return joined.filter(F.coalesce(F.col("_last") == F.col(by), F.lit(True))).drop("_last")

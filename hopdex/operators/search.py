@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from hopdex.functions.text import term_counts, tokenize
 from hopdex.operators.extract import is_success
+from hopdex.operators.index import with_letter
 from hopdex.operators.joins import is_small, match_join
 from hopdex.operators.ranking import rank_within
+from hopdex.session import stage
 
 # Fixed values of the two scoring formulas.
 TITLE_WEIGHT = 5
@@ -21,7 +23,6 @@ DEPTH_COST = 5
 RESULT_COLUMNS = [
     "query_id", "relevant_url", "origin_url", "depth", "score", "frequency", "title"
 ]
-RESULT_ORDER = ["score", "depth", "relevant_url", "origin_url"]
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -31,12 +32,24 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 
 def _matches(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """Index rows of the asked terms. A term can own a large share of the index."""
+    """Index rows of the asked terms. A term can own a large share of either side."""
+    on = ["term"]
     if "letter" in index.columns:  # stored index: lets Spark prune the letter folders
-        from hopdex.operators.index import with_letter
+        terms, on = with_letter(terms, "term"), ["letter", "term"]
+    return match_join(index, terms, on, ["url"], ["query_id"])
 
-        return match_join(index, with_letter(terms, "term"), ["letter", "term"], ["url"])
-    return match_join(index, terms, ["term"], ["url"])
+
+def _titled(scored: DataFrame, pages: DataFrame, how: str) -> DataFrame:
+    """Add page titles. `scored` is a written table, so its size is known.
+
+    A small result never makes the page table move: the needed titles are picked
+    by a broadcast of the result's URLs.
+    """
+    titles = pages.select("url", "title")
+    if is_small(scored):
+        needed = titles.join(F.broadcast(scored.select("url").distinct()), "url", "left_semi")
+        return scored.join(F.broadcast(needed), "url", how)
+    return match_join(scored, titles, ["url"], ["query_id"], how=how, broadcast=None)
 
 
 def search_default(
@@ -55,14 +68,13 @@ def search_default(
             F.sum(F.col("times") * F.col("frequency")).alias("frequency"),
         )
     )
-    # Title and provenance meet first: both are far smaller than the scores.
-    titles = pages.filter(is_success()).select("url", "title")
-    known = match_join(
-        discoveries.select("url", "origin_url", "depth", "job_id"), titles, ["url"], ["job_id"]
-    )
-    found = match_join(
-        scored, known.drop("job_id"), ["url"], ["query_id"]
-    )
+    scored = stage(scored, "scored")
+    titled = _titled(scored, pages.filter(is_success()), "inner")
+    known = discoveries.select("job_id", "url", "origin_url", "depth")
+    if is_small(scored):  # titles are unique per URL, so `titled` is no longer
+        found = known.join(F.broadcast(titled), "url")
+    else:
+        found = match_join(known, titled, ["url"], ["job_id"], ["query_id"], broadcast=None)
     return _result(found)
 
 
@@ -73,18 +85,17 @@ def search_relevance(queries: DataFrame, entries: DataFrame, pages: DataFrame) -
     in for the title.
     """
     index = entries.withColumnRenamed("word", "term")
-    terms = query_terms(queries).drop("times")
-    found = (
-        _matches(index, terms)
+    scored = (
+        _matches(index, query_terms(queries).drop("times"))
         .groupBy("query_id", "url", "origin_url", "depth")
         .agg(
             F.sum(TERM_WEIGHT * F.col("frequency").cast("bigint") + TERM_BONUS).alias("_gain"),
             F.sum("frequency").alias("frequency"),
         )
         .withColumn("score", F.col("_gain") - DEPTH_COST * F.col("depth"))
+        .drop("_gain")
     )
-    titles = pages.select("url", "title")
-    return _result(match_join(found, titles, ["url"], ["query_id", "origin_url"], "left"))
+    return _result(_titled(stage(scored, "scored"), pages, "left"))
 
 
 def _result(found: DataFrame) -> DataFrame:

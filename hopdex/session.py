@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings that hold at any size. Memory, cores and partition counts
 # belong to the deployment.
@@ -39,3 +39,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="hopdex-")
         context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back.
+
+    Cuts the lineage with files that outlive any executor, gives the optimizer
+    true sizes, and lets several consumers share one computation.
+    """
+    where = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
