@@ -99,13 +99,16 @@ def event_counters(events: DataFrame, kinds: dict[str, str]) -> DataFrame:
     )
 
 
-def backpressure_recent(events: DataFrame, message: str, asof: Column) -> DataFrame:
-    """Per job: the last event of that class and whether it is under two seconds old."""
-    last = events.filter(F.col("message") == message).groupBy("job_id").agg(
-        F.max("logged_at").alias("last_at")
-    )
-    fresh = F.col("last_at") > asof - F.expr(f"INTERVAL {RECENT_SECONDS} SECONDS")
-    return last.withColumn("active", fresh)
+def backpressure_recent(events: DataFrame, message: str, asof: Column | None = None) -> DataFrame:
+    """Per job with such events: the last one and whether it is under two seconds old.
+
+    Without `asof`, a job's own last event of any class is its present.
+    """
+    last = F.max(F.when(F.col("message") == message, F.col("logged_at")))
+    now = F.max("logged_at") if asof is None else F.max(asof)
+    per_job = events.groupBy("job_id").agg(last.alias("last_at"), now.alias("_now"))
+    fresh = F.col("last_at") > F.col("_now") - F.expr(f"INTERVAL {RECENT_SECONDS} SECONDS")
+    return per_job.filter("last_at IS NOT NULL").select("job_id", "last_at", fresh.alias("active"))
 
 
 def recent_logs(logs: DataFrame, rows: int = LOG_VIEW_ROWS) -> DataFrame:
