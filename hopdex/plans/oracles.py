@@ -35,12 +35,12 @@ parsed AS (
 ),
 hrefs AS (
   SELECT url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href,
-    generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS at
+    generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS pos
   FROM raw
 ),
 linked AS (
-  SELECT url, dst, row_number() OVER (PARTITION BY url ORDER BY at) - 1 AS position FROM (
-    SELECT url, regexp_extract(url, '^https?://[^/]*') || href AS dst, min(at) AS at
+  SELECT url, dst, row_number() OVER (PARTITION BY url ORDER BY pos) - 1 AS position FROM (
+    SELECT url, regexp_extract(url, '^https?://[^/]*') || href AS dst, min(pos) AS pos
     FROM hrefs GROUP BY ALL)
 ),
 link_lists AS (
@@ -143,8 +143,8 @@ FROM parsed LEFT JOIN link_lists USING (url)"""),
     "page_text": _with(PARSED, "SELECT url, text FROM parsed"),
     "page_links": _with(PARSED, "SELECT url AS src, position, dst FROM linked"),
     "links_distinct": _with(PARSED, """
-SELECT url, 2 * any_value(n) AS n_raw, string_agg(href, ' ' ORDER BY at) AS hrefs FROM (
-  SELECT url, href, min(at) AS at FROM hrefs GROUP BY ALL)
+SELECT url, 2 * any_value(n) AS n_raw, string_agg(href, ' ' ORDER BY pos) AS hrefs FROM (
+  SELECT url, href, min(pos) AS pos FROM hrefs GROUP BY ALL)
 JOIN (SELECT url, count(*) AS n FROM hrefs GROUP BY url) USING (url) GROUP BY url
 UNION ALL SELECT url, 0, '' FROM raw WHERE url NOT IN (SELECT url FROM hrefs)"""),
     "links_json": _with(PARSED, """
@@ -190,9 +190,9 @@ SELECT page_id, kind, CASE
   ELSE s || '://' || h || r END AS url
 FROM parts, (VALUES ('plain'), ('upper'), ('port_80'), ('port_8443'), ('user'), ('mail'), ('ftp'), ('padded')) k(kind)""",
     "resolve_links": _with(PARSED, r"""
-SELECT page_id, at - 1 AS position, kind, CASE kind
+SELECT page_id, pos - 1 AS position, kind, CASE kind
   WHEN 'other_host' THEN regexp_extract(url, '^https?') || '://cdn.test' || href
-  WHEN 'query' THEN regexp_replace(url, '\?.*$', '') || '?p=' || (at - 1)
+  WHEN 'query' THEN regexp_replace(url, '\?.*$', '') || '?p=' || (pos - 1)
   WHEN 'fragment' THEN url
   ELSE regexp_extract(url, '^https?://[^/]*') || href END AS link
 FROM hrefs JOIN raw USING (url),
