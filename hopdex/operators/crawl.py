@@ -57,6 +57,8 @@ def _walk(seeds: DataFrame, step) -> DataFrame:
         F.lit(0).alias("depth"),
     )
 
+    key = ["job_id", "origin_url", "max_depth", "url"]
+
     def read(levels) -> DataFrame:
         return spark.read.schema(start.schema).parquet(*[f"{root}/hop-{d}" for d in levels])
 
@@ -66,16 +68,13 @@ def _walk(seeds: DataFrame, step) -> DataFrame:
         frontier = read([depth]).filter("depth < max_depth")
         if frontier.isEmpty():
             break
-        # One row per (job, URL): partial aggregation drops repeats before the
-        # shuffle, and the visited rows are matched on the same key.
-        reached = (
-            step(frontier)
-            .withColumn("depth", F.lit(depth + 1))
-            .select(*start.columns)
-            .dropDuplicates(["job_id", "url"])
-        )
-        visited = read(range(depth + 1)).select("job_id", "url")
-        fresh = reached.join(visited, ["job_id", "url"], "left_anti")
+        # One row per (job, URL). Origin and depth limit belong to the job, so they
+        # ride along in the key: a distinct over plain keys stays a hash
+        # aggregate, drops repeats before the shuffle, and leaves the rows
+        # partitioned as the match with the visited rows needs them.
+        reached = step(frontier).select(*key).distinct()
+        fresh = reached.join(read(range(depth + 1)).select(*key), key, "left_anti")
+        fresh = fresh.withColumn("depth", F.lit(depth + 1))
         depth += 1
         fresh.select(*start.columns).write.parquet(f"{root}/hop-{depth}")
     return read(range(depth + 1)).select("job_id", "origin_url", "url", "depth")

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopdex.functions.text import SPACE_CLASS, letter_of
+from hopdex.functions.text import let, letter_of, plain_spaces
 from hopdex.operators.index import dedup_entries
 from hopdex.schemas import WORD_ENTRIES
 
@@ -19,28 +19,29 @@ def to_lines(entries: DataFrame) -> DataFrame:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Word entries from rows with a `line` column; unusable lines are skipped.
 
-    Further columns of `lines` are kept.
+    Further columns of `lines` are kept. A line is taken apart once; the generator
+    keeps the optimizer from repeating that for the filter.
     """
-    stripped = F.regexp_replace("line", f"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
-    parts = F.split(stripped, f"[{SPACE_CLASS}]+")
+    def number(text: Column) -> Column:
+        return F.when(F.rlike(text, F.lit(_INT)), text.try_cast("int"))
 
-    def number(i: int) -> Column:
-        return F.when(F.rlike(parts[i], F.lit(_INT)), parts[i].try_cast("int"))
-
-    usable = (stripped != "") & ~F.startswith(stripped, F.lit("#")) & (F.size(parts) == 5)
-    extra = [c for c in lines.columns if c != "line"]
-    return (
-        lines.filter(usable)
-        .select(
-            parts[0].alias("word"),
-            parts[1].alias("url"),
-            parts[2].alias("origin_url"),
-            number(3).alias("depth"),
-            number(4).alias("frequency"),
-            *extra,
+    def entry(parts: Column) -> Column:
+        fields = F.struct(
+            F.get(parts, F.lit(0)).alias("word"),
+            F.get(parts, F.lit(1)).alias("url"),
+            F.get(parts, F.lit(2)).alias("origin_url"),
+            number(F.get(parts, F.lit(3))).alias("depth"),
+            number(F.get(parts, F.lit(4))).alias("frequency"),
         )
-        .filter("depth IS NOT NULL AND frequency IS NOT NULL")
+        comment = F.startswith(F.get(parts, F.lit(0)), F.lit("#"))
+        return F.when((F.size(parts) == 5) & ~comment, F.array(fields))
+
+    parts = F.regexp_extract_all(plain_spaces(F.col("line")), F.lit("[^ ]+"), F.lit(0))
+    usable = F.filter(
+        let(parts, entry), lambda e: e["depth"].isNotNull() & e["frequency"].isNotNull()
     )
+    extra = [c for c in lines.columns if c != "line"]
+    return lines.select(*extra, F.inline(usable)).select(*WORD_ENTRIES.names, *extra)
 
 
 def write_lines(entries: DataFrame, path: str) -> None:

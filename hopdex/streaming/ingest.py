@@ -6,10 +6,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hopdex.operators.extract import parse_responses
 from hopdex.operators.index import build_postings, build_word_entries, changed_entries
-from hopdex.operators.joins import drop_known
+from hopdex.operators.joins import drop_known, match_join, newest
 from hopdex.operators.upsert import mark_interrupted
 from hopdex.schemas import RESPONSES
-from hopdex.session import stage
 from hopdex.sources.store import IndexStore
 from hopdex.sources.tables import with_origin
 
@@ -24,20 +23,26 @@ def read_response_stream(
     return reader.parquet(path)
 
 
-def new_pages(offered: DataFrame, stored: DataFrame) -> DataFrame:
-    """The offered pages whose URL has no page yet, one row per URL.
+def one_per_url(offered: DataFrame) -> DataFrame:
+    """One response per URL. Only the rows of repeated URLs are shuffled.
 
-    The choice among repeats in a batch is by content, so a replay picks the same.
+    The choice among repeats is by content, so a replay picks the same.
     """
-    names = offered.columns
-    value = F.struct(*[c for c in names if c != "url"])
-    once = offered.groupBy("url").agg(F.min_by(value, F.xxhash64(value)).alias("_row"))
-    return drop_known(once.select("url", "_row.*").select(*names), stored, ["url"])
+    repeated = offered.groupBy("url").agg(F.count("*").alias("_n")).filter("_n > 1").select("url")
+    single = drop_known(offered, repeated, ["url"])
+    numbered = offered.withColumn("_row", F.monotonically_increasing_id())
+    copies = match_join(numbered, repeated, ["url"], ["_row"]).select(*offered.columns)
+    content = F.xxhash64("status", "error", "body")
+    return single.unionByName(newest(copies, ["url"], [content, "body"]))
 
 
-def index_pages(store: IndexStore, pages: DataFrame, batch_id: int) -> None:
-    """Add a batch of fetched pages: pages, postings and word entries in one commit."""
-    store.write("pages", new_pages(pages, store.read("pages", before=batch_id)), batch_id)
+def index_responses(store: IndexStore, offered: DataFrame, batch_id: int) -> None:
+    """Add a batch of responses: pages, postings and word entries in one commit.
+
+    A URL that has a page already is dropped before it is parsed.
+    """
+    unknown = drop_known(one_per_url(offered), store.read("pages", before=batch_id), ["url"])
+    store.write("pages", parse_responses(unknown.select(*offered.columns)), batch_id)
     fresh = _own(store, "pages", batch_id)
     store.write("postings", build_postings(fresh), batch_id)
     known = with_origin(store.read("discoveries", before=batch_id), store.read("jobs"))
@@ -72,7 +77,11 @@ def index_stream(
     a failure overwrites itself.
     """
     def run(batch: DataFrame, batch_number: int) -> None:
-        index_pages(store, stage(parse_responses(batch), "parsed"), first_batch + batch_number)
+        batch.persist()  # read several times; recomputed from its files if lost
+        try:
+            index_responses(store, batch, first_batch + batch_number)
+        finally:
+            batch.unpersist()
 
     return (
         responses.writeStream.foreachBatch(run)

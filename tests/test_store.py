@@ -16,7 +16,7 @@ from hopdex.sources.store import IndexStore
 from hopdex.sources.tables import with_origin
 from hopdex.sources.word_lines import parse_lines, read_lines, to_lines, write_lines
 from hopdex.streaming.ingest import (
-    counter_stream, index_pages, index_stream, read_response_stream, record_discoveries, recover,
+    counter_stream, index_responses, index_stream, one_per_url, read_response_stream, record_discoveries, recover,
 )
 
 
@@ -137,7 +137,7 @@ def test_stream_equals_batch_with_replay_and_restart(spark, tmp_path, site):
 
     # A replayed batch overwrites itself.
     before = rows(store.read("postings")), rows(store.read("word_entries"))
-    index_pages(store, parse_responses(responses(spark, [site[1], site[2]])), 2)
+    index_responses(store, responses(spark, [site[1], site[2]]), 2)
     assert (rows(store.read("postings")), rows(store.read("word_entries"))) == before
 
     # A job that asks for pages fetched before gets its entries at once.
@@ -172,3 +172,10 @@ def test_counter_stream_updates(spark, tmp_path):
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
     counter_stream(source, sink, str(tmp_path / "offsets")).awaitTermination()
     assert latest == {("a", "x"): 2, ("a", "y"): 1, ("b", "x"): 1}
+
+
+def test_one_response_per_url(spark):
+    offered = responses(spark, [("a", "1"), ("a", "1"), ("a", "2"), ("b", "3"), ("c", "4"), ("c", "4")])
+    first = sorted((r.url, bytes(r.body)) for r in one_per_url(offered.repartition(3)).collect())
+    again = sorted((r.url, bytes(r.body)) for r in one_per_url(offered.repartition(2)).collect())
+    assert [u for u, _ in first] == ["a", "b", "c"] and first == again
