@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hopdex.session import stage
+
 # A side with at most this many narrow rows is broadcast.
 BROADCAST_ROWS = 200_000
 # A key with more rows than this is split into pieces of about this size.
@@ -10,8 +12,12 @@ HOT_ROWS = 500_000
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `rows` rows; reads no further than that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether `df` has at most `rows` rows.
+
+    Asks for the row after those. Spark answers that by taking partitions step by
+    step, so a large table is not scanned for it.
+    """
+    return not df.select(F.lit(1).alias("_one")).offset(rows).limit(1).collect()
 
 
 def _hot_keys(df: DataFrame, on: list[str], hot_rows: int, name: str) -> DataFrame | None:
@@ -25,6 +31,7 @@ def _hot_keys(df: DataFrame, on: list[str], hot_rows: int, name: str) -> DataFra
         .filter(F.col("_n") > hot_rows)
         .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias(name))
     )
+    hot = stage(hot, "hot")  # counted once, used on both sides
     return None if hot.isEmpty() else F.broadcast(hot)
 
 
@@ -64,6 +71,8 @@ def match_join(
     table with the same keys to count. `how` is "inner", or "left" for a join that
     only cuts the left side.
     """
+    if how != "inner" and (right_spread or broadcast == "left"):
+        raise ValueError("only an inner join can cut or broadcast both sides")
     if broadcast == "right" and is_small(right, small_rows):
         return left.join(F.broadcast(right), on, how)
     if broadcast == "left" and is_small(left, small_rows):
@@ -114,5 +123,5 @@ def newest_wide(df: DataFrame, key: str, by: str) -> DataFrame:
         .filter("_copies > 1")
         .select(key, "_last")
     )
-    joined = match_join(df, repeated, [key], [by], how="left")
+    joined = match_join(df, stage(repeated, "repeated"), [key], [by], how="left")
     return joined.filter(F.coalesce(F.col("_last") == F.col(by), F.lit(True))).drop("_last")

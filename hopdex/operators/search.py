@@ -20,6 +20,9 @@ TERM_WEIGHT = 10
 TERM_BONUS = 1000
 DEPTH_COST = 5
 
+# Up to this many distinct terms are handed to the scan of a stored index.
+TERM_FILTER = 1000
+
 RESULT_COLUMNS = [
     "query_id", "relevant_url", "origin_url", "depth", "score", "frequency", "title"
 ]
@@ -34,11 +37,26 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def _matches(index: DataFrame, terms: DataFrame) -> DataFrame:
     """Index rows of the asked terms. A term can own a large share of either side."""
     on = ["term"]
-    if "letter" in index.columns:  # stored index: lets Spark prune the letter folders
+    if "letter" in index.columns:
         terms, on = with_letter(terms, "term"), ["letter", "term"]
+        index = _asked_part(index, terms)
     return match_join(index, terms, on, ["url"], ["query_id"])
 
 
+def _asked_part(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """The part of a stored index that the terms can touch, for the scan to prune.
+
+    Letters choose the folders; there are no more of them than token characters.
+    A short list of terms also becomes a filter that skips files by their statistics.
+    """
+    letters = [r.letter for r in terms.select("letter").distinct().collect()]
+    index = index.filter(F.col("letter").isin(letters))
+    asked = terms.select("term").distinct().limit(TERM_FILTER + 1).collect()
+    if len(asked) <= TERM_FILTER:
+        index = index.filter(F.col("term").isin([r.term for r in asked]))
+    return index
+
+
 def _titled(scored: DataFrame, pages: DataFrame, how: str) -> DataFrame:
     """Add page titles. `scored` is a written table, so its size is known.
 

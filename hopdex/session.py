@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A page can be a megabyte: bound what one Python worker holds at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 
@@ -25,6 +27,12 @@ def build_session(master: str, name: str, extra: dict[str, str] | None = None) -
     return builder.getOrCreate()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Set the Arrow batch bound in a session that was built elsewhere."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, SETTINGS[key])
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the checkpoint directory that the cluster names.
 

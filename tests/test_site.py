@@ -133,3 +133,19 @@ def test_seed_rules(spark):
         ("http://a.test/", 0), ("http://a.test/", 1)
     ]
     assert all(len(r.job_id) == 64 for r in accepted(checked).collect())
+
+
+def test_stored_index_is_pruned_by_the_query(spark, pages, tmp_path):
+    from hopdex.operators.search import _matches, query_terms
+    from hopdex.sources.store import IndexStore
+
+    store = IndexStore(spark, str(tmp_path))
+    store.replace("postings", build_postings(pages), 0)
+    matches = _matches(store.read("postings"), query_terms(asked(spark, "beta gamma")))
+    assert shown(matches, "term", "url", "frequency") == [
+        ("beta", SITE + "/", 1), ("beta", SITE + "/docs", 3),
+        ("gamma", SITE + "/deep", 1), ("gamma", SITE + "/docs", 1),
+    ]
+    plan = matches._jdf.queryExecution().executedPlan().toString()
+    assert "letter#" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "In(term" in plan or "EqualTo(term" in plan or "term IN" in plan
