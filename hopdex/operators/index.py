@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hopdex.functions.text import field_counts, letter_of, term_counts, tokenize
 from hopdex.operators.extract import is_success
-from hopdex.operators.joins import is_small, match_join
+from hopdex.operators.joins import is_small, match_join, only_keys
 from hopdex.schemas import WORD_ENTRIES, WORD_ENTRY_KEY
 
 
@@ -29,10 +29,12 @@ def build_word_entries(pages: DataFrame, discoveries: DataFrame) -> DataFrame:
     the words are unfolded after the join.
     """
     provenance = discoveries.select("url", "origin_url", "depth").distinct()
-    counted = pages.filter(is_success()).select(
-        "url", term_counts(tokenize(F.col("text"))).alias("counts")
-    )
-    if is_small(discoveries):
+    pages = pages.filter(is_success()).select("url", "text")
+    few = is_small(discoveries)
+    if few:  # a short list of discoveries: count only the pages it names
+        pages = only_keys(pages, discoveries, ["url"])
+    counted = pages.select("url", term_counts(tokenize(F.col("text"))).alias("counts"))
+    if few:
         joined = counted.join(F.broadcast(provenance), "url")
     else:
         joined = match_join(

@@ -93,11 +93,26 @@ def match_join(
     return left.join(right, keys, how).drop("_left_piece", "_right_piece")
 
 
+def only_keys(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of `df` whose key occurs in `wanted`; a short `wanted` is broadcast."""
+    keys = wanted.select(*on)
+    short = is_small(keys)
+    keys = keys.distinct()
+    return df.join(F.broadcast(keys) if short else keys, on, "left_semi")
+
+
 def drop_known(df: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of `df` whose key does not occur in `known`."""
+    """Rows of `df` whose key does not occur in `known`.
+
+    If either side is short the other one is not shuffled: a short `df` first picks
+    its own keys out of `known`, which are then no more than its rows.
+    """
     keys = known.select(*on)
     if is_small(keys):
         keys = F.broadcast(keys)
+    elif is_small(df.select(*on)):
+        wanted = F.broadcast(df.select(*on).distinct())
+        keys = F.broadcast(keys.join(wanted, on, "left_semi").distinct())
     return df.join(keys, on, "left_anti")
 
 

@@ -3,38 +3,40 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hopdex.session import shared_folder
+from hopdex.operators.joins import is_small
+from hopdex.session import stage
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
     """Add the 1-based position of every row in its group.
 
-    A window over the group alone would put a whole group into one task. Here
-    the rows are range-partitioned by (group, order), numbered inside their
-    partition, and shifted by the group's row count in earlier partitions. The
-    partitioned rows are written once, because both steps must see the same
-    partition numbers even when an executor is lost in between.
+    A window over the group would put a whole group into one task. Here the rows
+    are range-partitioned and sorted by (group, order) and get their place in that
+    sequence; a group's first place in each partition and its row count in earlier
+    partitions turn the place into a rank. The sequence is written once, because
+    both steps must see the same places even when an executor is lost in between.
     """
-    spark = df.sparkSession
-    where = shared_folder(spark, "ranked")
-    ranged = df.repartitionByRange(*[F.col(c) for c in group], *order)
-    ranged.withColumn("_part", F.spark_partition_id()).write.parquet(where)
-    ranged = spark.read.parquet(where)
+    keys = [F.col(c) for c in group] + order
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
+        "_place", F.monotonically_increasing_id()
+    )
+    placed = stage(placed, "ranked").withColumn("_part", F.shiftright("_place", 33))
 
     # At most (groups + partitions) rows, as neighbouring ranges share one group.
-    sizes = ranged.groupBy(*group, "_part").agg(F.count("*").alias("_size"))
+    runs = placed.groupBy(*group, "_part").agg(
+        F.count("*").alias("_size"), F.min("_place").alias("_first")
+    )
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    shifts = sizes.select(
-        *group, "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift")
-    )
-    inside = Window.partitionBy(*group, "_part").orderBy(*order)
-    numbered = ranged.withColumn("_row", F.row_number().over(inside))
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    runs = stage(runs.select(*group, "_part", "_first", before.alias("_before")), "runs")
+    if is_small(runs):
+        runs = F.broadcast(runs)
     # Partition numbers are never NULL; group values can be (a NULL query id).
-    left, right = numbered.alias("n"), shifts.alias("s")
-    match = F.col("n._part") == F.col("s._part")
+    left, right = placed.alias("p"), runs.alias("r")
+    match = F.col("p._part") == F.col("r._part")
     for column in group:
-        match = match & F.col(f"n.{column}").eqNullSafe(F.col(f"s.{column}"))
-    rank = (F.col("_row") + F.col("_shift")).cast("bigint").alias(name)
-    return left.join(right, match).select(*[F.col(f"n.{c}") for c in df.columns], rank)
+        match = match & F.col(f"p.{column}").eqNullSafe(F.col(f"r.{column}"))
+    rank = (F.col("_place") - F.col("_first") + 1 + F.col("_before")).cast("bigint")
+    return left.join(right, match).select(*[F.col(f"p.{c}") for c in df.columns], rank.alias(name))

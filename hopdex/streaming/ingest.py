@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hopdex.operators.extract import parse_responses
 from hopdex.operators.index import build_postings, build_word_entries, changed_entries
-from hopdex.operators.joins import drop_known, match_join, newest
+from hopdex.operators.joins import drop_known, match_join, newest, only_keys
 from hopdex.operators.upsert import mark_interrupted
 from hopdex.schemas import RESPONSES
 from hopdex.sources.store import IndexStore
@@ -45,10 +45,10 @@ def index_responses(store: IndexStore, offered: DataFrame, batch_id: int) -> Non
     store.write("pages", parse_responses(unknown.select(*offered.columns)), batch_id)
     fresh = _own(store, "pages", batch_id)
     store.write("postings", build_postings(fresh), batch_id)
-    known = with_origin(store.read("discoveries", before=batch_id), store.read("jobs"))
-    entries = build_word_entries(fresh, known)
-    stored = store.read("word_entries", before=batch_id)
-    store.write("word_entries", changed_entries(entries, stored), batch_id)
+    # Only what the batch touches is read from the other tables. Its URLs are new,
+    # so the store cannot hold entries of theirs.
+    known = only_keys(store.read("discoveries", before=batch_id), fresh, ["url"])
+    store.write("word_entries", build_word_entries(fresh, with_origin(known, store.read("jobs"))), batch_id)
     store.commit(batch_id, ["pages", "postings", "word_entries"])
 
 
@@ -58,7 +58,7 @@ def record_discoveries(store: IndexStore, jobs: DataFrame, found: DataFrame, bat
     store.write("discoveries", found, batch_id)
     fresh = with_origin(_own(store, "discoveries", batch_id), _own(store, "jobs", batch_id))
     entries = build_word_entries(store.read("pages", before=batch_id), fresh)
-    stored = store.read("word_entries", before=batch_id)
+    stored = only_keys(store.read("word_entries", before=batch_id), fresh, ["url"])
     store.write("word_entries", changed_entries(entries, stored), batch_id)
     store.commit(batch_id, ["jobs", "discoveries", "word_entries"])
 

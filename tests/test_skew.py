@@ -108,7 +108,61 @@ def test_rank_without_groups(spark):
     assert all(r.n == r.x + 1 for r in rank_within(df, [], [F.col("x")], "n").collect())
 
 
-def test_drop_known(spark):
+@pytest.mark.parametrize("bound", [0, 4, 100])
+def test_key_filters_on_every_path(spark, monkeypatch, bound):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "k string, v int")
-    known = spark.createDataFrame([("a",)], "k string")
+    known = spark.createDataFrame([("a",), ("a",), ("c",), ("d",), ("e",)], "k string")
+    real = joins.is_small
+    monkeypatch.setattr(joins, "is_small", lambda d, rows=0: real(d, bound))
     assert rows(drop_known(df, known, ["k"])) == Counter([("b", 2)])
+    assert rows(joins.only_keys(df, known, ["k"])) == Counter([("a", 1), ("a", 3)])
+
+
+def test_word_entries_of_many_discoveries(spark, monkeypatch):
+    """The shuffled join, with one URL that nearly every job discovers."""
+    from hopdex.operators import index
+
+    pages = spark.createDataFrame(
+        [("hot", "a b a", None, 200), ("cold", "c", None, 200), ("bad", "x", "err", 0)],
+        "url string, text string, error string, status_code int",
+    )
+    found = [("hot", f"o{i % 40}", i % 3) for i in range(300)] + [("cold", "o1", 1), ("bad", "o1", 1)]
+    discoveries = spark.createDataFrame(found, "url string, origin_url string, depth int")
+    real = index.match_join
+    monkeypatch.setattr(index, "is_small", lambda d, rows=0: False)
+    monkeypatch.setattr(index, "match_join", lambda *a, **k: real(*a, **k, hot_rows=20))
+    got = rows(index.build_word_entries(pages, discoveries))
+    counts = {"hot": {"a": 2, "b": 1}, "cold": {"c": 1}, "bad": {}}
+    assert got == Counter((w, u, o, d, n) for u, o, d in set(found) for w, n in counts[u].items())
+
+
+def test_search_with_large_results(spark, monkeypatch):
+    """Nothing small: shuffled joins with hot terms, hot pages and hot queries."""
+    from hopdex.operators import joins as j
+    from hopdex.operators import search
+
+    postings = spark.createDataFrame(
+        [("the", f"u{i}", 1 + i % 3, i % 2) for i in range(60)] + [("rare", "u1", 2, 0)],
+        "term string, url string, frequency int, title_hits int",
+    )
+    pages = spark.createDataFrame(
+        [(f"u{i}", f"t{i}" if i % 4 else "", None, 200) for i in range(60)],
+        "url string, title string, error string, status_code int",
+    )
+    found = spark.createDataFrame(
+        [(f"j{i}", "o", "u1", 0) for i in range(50)] + [("j0", "o", f"u{i}", 1) for i in range(2, 60)],
+        "job_id string, origin_url string, url string, depth int",
+    )
+    queries = spark.createDataFrame(
+        [(i, "the the rare" if i % 2 else "the") for i in range(30)], "query_id bigint, text string"
+    )
+    want = rows(search.search_default(queries, postings, pages, found))
+    assert sum(want.values()) == 30 * 108
+    real = j.match_join
+
+    def large(*args, **options):
+        return real(*args, **{**options, "hot_rows": 9, "broadcast": None})
+
+    monkeypatch.setattr(search, "is_small", lambda d, rows=0: False)
+    monkeypatch.setattr(search, "match_join", large)
+    assert rows(search.search_default(queries, postings, pages, found)) == want
