@@ -33,13 +33,14 @@ def at_second(number: Column) -> Column:
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id, url, html), one row per canonical URL: the last fetch counts."""
-    raw = table(spark, folder, "pages").withColumn("url", normalize_url(F.col("url")))
+    raw = spread_if_few(table(spark, folder, "pages"))
+    raw = raw.withColumn("url", normalize_url(F.col("url")))
     return newest_wide(raw.filter("url IS NOT NULL"), "url", "page_id")
 
 
 def fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Parsed page rows, computed once and written."""
-    raw = spread_if_few(raw_pages(spark, folder))
+    raw = raw_pages(spark, folder)
     return stage(parse_html_pages(raw, at_second(F.col("page_id"))), "pages")
 
 

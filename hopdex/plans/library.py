@@ -53,7 +53,7 @@ def page_links(spark, folder):
 @query
 def links_distinct(spark, folder):
     """Raw link targets of a page against the distinct ones, order kept."""
-    raw = tables.spread_if_few(corpus.raw_pages(spark, folder))
+    raw = corpus.raw_pages(spark, folder)
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
     doubled = raw.select("url", F.concat(hrefs, F.reverse(hrefs)).alias("hrefs"))
     return doubled.select(
@@ -76,7 +76,7 @@ def content_dispatch(spark, folder):
     media = F.when(F.contains("url", F.lit("?")), "text/plain").otherwise(
         "Text/HTML; charset=UTF-8"
     )
-    responses = tables.spread_if_few(corpus.raw_pages(spark, folder)).select(
+    responses = corpus.raw_pages(spark, folder).select(
         "url", F.lit(200).alias("status"), F.create_map(F.lit("CONTENT-TYPE"), media).alias("headers"),
         F.encode("html", "utf-8").alias("body"), F.lit(None).cast("string").alias("error"),
     )
@@ -178,7 +178,7 @@ def normalize_urls(spark, folder):
 @query
 def resolve_links(spark, folder):
     """Every link of every page, also in four relative spellings."""
-    raw = tables.spread_if_few(corpus.raw_pages(spark, folder))
+    raw = corpus.raw_pages(spark, folder)
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
     links = raw.select("page_id", "url", F.posexplode(hrefs).alias("position", "href"))
     spellings = {
@@ -563,7 +563,7 @@ def job_status_latest(spark, folder):
 def stream_postings(spark, folder):
     """Pages streamed into the store as responses; the postings they leave there."""
     inbox = shared_folder(spark, "inbox")
-    raw = tables.spread_if_few(corpus.raw_pages(spark, folder))
+    raw = corpus.raw_pages(spark, folder)
     html = F.create_map(F.lit("Content-Type"), F.lit("text/html"))
     raw.select(
         "url", F.lit(200).alias("status"), html.alias("headers"),

@@ -10,7 +10,8 @@ from hopdex.schemas import PAGES, RESPONSES
 def spread_if_few(df: DataFrame) -> DataFrame:
     """Use all cores when a small input comes in fewer splits than there are.
 
-    A large input has more splits than cores and is left as it is.
+    A large input has more splits than cores and is left as it is. Meant for plain
+    scans: asking a plan with joins for its splits would run parts of it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
