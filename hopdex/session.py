@@ -1,7 +1,9 @@
 """Session settings and the shared folder for work that must survive executors."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,22 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set(key, SETTINGS[key])
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, from whatever folder the program is run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp()) / "hopdex"), "zip", root_dir=root, base_dir="hopdex"
+    )
+    context.addPyFile(archive)  # Spark hands the archive to every executor
+    _shipped.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the checkpoint directory that the cluster names.
 
