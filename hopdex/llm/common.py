@@ -4,7 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Bytes of text that one step of a Python task looks at together.
@@ -116,3 +116,57 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * forward[: len(values)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column,
+                    per_class: int, chars: int) -> list[tuple[str, int]]:
+    """A bounded sample of (text, 0 or 1) of documents with a label that are not held out.
+
+    At most `per_class` documents of each class, those with the smallest id hashes, and
+    of each text the first `chars` characters; this bounds what the driver fetches. Of
+    several labels of an id the largest counts, of several texts the smallest.
+    """
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    known = known.filter(~held_out).groupBy("doc_id").agg(
+        F.max((F.col(label) == 1).cast("int")).alias("_label"))
+    order = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = known.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_class)
+    text = F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text")
+    rows = (
+        docs.select("doc_id", text).join(F.broadcast(chosen.select("doc_id", "_label")), "doc_id")
+        .groupBy("doc_id", "_label").agg(F.min("text").alias("text")).orderBy("doc_id")
+    )
+    return [(r.text, r["_label"]) for r in rows.collect()]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of word bytes; no run goes on in the next text."""
+    inside = is_word[data]
+    edge = np.zeros(len(data), bool)
+    edge[offsets[:-1][offsets[:-1] < len(data)]] = True
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1] | edge[1:]
+    stops[:-1] &= ~inside[1:] | edge[1:]
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + np.tanh(0.5 * x))
+
+
+class Adam:
+    """Adam over a dict of arrays."""
+
+    def __init__(self, weights: dict[str, np.ndarray], rate: float):
+        self.weights, self.rate, self.steps = weights, rate, 0
+        self.mean = {k: np.zeros_like(v) for k, v in weights.items()}
+        self.square = {k: np.zeros_like(v) for k, v in weights.items()}
+
+    def step(self, gradients: dict[str, np.ndarray]) -> None:
+        self.steps += 1
+        for name, gradient in gradients.items():
+            mean, square = self.mean[name], self.square[name]
+            mean += 0.1 * (gradient - mean)
+            square += 0.001 * (gradient**2 - square)
+            size = np.sqrt(square / (1 - 0.999**self.steps)) + 1e-8
+            self.weights[name] -= self.rate * mean / (1 - 0.9**self.steps) / size

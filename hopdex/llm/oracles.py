@@ -1,3 +1,8 @@
 """The corpus queries that SQL can express, as SQL over the same tables."""
 
-ORACLES = {}
+from hopdex.llm import line_rules, url_rules
+
+ORACLES = {
+    "op4_line_rules": line_rules.ORACLE,
+    "op9_url_rules": url_rules.ORACLE,
+}
