@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+
 # Bytes of text that one step of a Python task looks at together.
 SLICE_BYTES = 2 << 20
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -18,17 +19,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, k_id, k_text): two columns that are never null and name a row.
+    """(doc_id, text, k_id, k_text, and `rest` if given): k_id and k_text name a row, never null.
 
     Rows with the same id and the same text are one document that is repeated; all
     of them get the same results. A null id sorts after all others, a null text is
-    empty. Other columns of `docs` are left behind, so their names cannot clash.
+    empty. Columns but `rest` are left behind, so their names cannot clash.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", "text").select(
-        "doc_id", text.alias("text"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"),
-        F.xxhash64(text).alias("k_text"),
-    )
+    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    rest = ["rest"] if "rest" in docs.columns else []
+    return docs.select("doc_id", text, F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), *rest).withColumn(
+        "k_text", F.xxhash64("text"))
 
 
 def third(doc_id: Column, parts: int) -> Column:

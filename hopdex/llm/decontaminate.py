@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopdex.llm.common import slices, text_bytes
+from hopdex.llm.common import keyed, slices, text_bytes
 
 # Errors allowed, as a part of the characters of an item.
 ERROR_RATE = 0.08
@@ -74,6 +74,24 @@ class Pattern:
             minus = up & vertical
         return best, end
 
+    def distance(self, text: str) -> int:
+        """Edit distance of the whole item and the whole `text`."""
+        size, masks = len(self.text), self.masks
+        full, top = (1 << size) - 1, 1 << (size - 1)
+        plus, minus, score = full, 0, size
+        for char in text:
+            equal = masks.get(char, 0)
+            vertical = equal | minus
+            across = (((equal & plus) + plus) ^ plus) | equal
+            up = minus | (full & ~(across | plus))
+            down = plus & across
+            score += bool(up & top) - bool(down & top)
+            up = (up << 1 | 1) & full  # skipping a character of `text` costs one as well
+            down = (down << 1) & full
+            plus = down | (full & ~(vertical | up))
+            minus = up & vertical
+        return score
+
 
 class Matcher:
     """Finds all items of one pass in texts."""
@@ -188,7 +206,7 @@ def _search(matcher):
             found = [m for m in matcher.value.matches(data, offsets) if m]
             rows = pa.array([m[0] for m in found], pa.int64())
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id").take(rows),
+                **{name: batch.column(name).take(rows) for name in ("doc_id", "k_id", "k_text")},
                 "item_id": pa.array([m[1] for m in found], pa.int64()),
                 "distance": pa.array([m[2] for m in found], pa.int32()),
                 "end": pa.array([m[3] for m in found], pa.int64()),
@@ -217,15 +235,16 @@ def find_contamination(docs: DataFrame, items: DataFrame, error_rate: float = ER
     blank. An item of m characters occurs if a stretch of the text has an edit
     distance of at most error_rate * m from it; pieces cut the item evenly, so every
     such stretch is found. Returns doc_id, item_id, distance and end (the character
-    after the best stretch in the compared text), a row for each document and item.
+    after the best stretch in the compared text), a row for each document and item, with
+    k_id and k_text that name the document.
 
     Null and empty texts and items never match, a null id is kept as it is, repeated
     rows give repeated results, repeated items one; other columns are ignored; empty
     tables give none. Items are searched in passes of a bounded number. No shuffle.
     """
     spark = docs.sparkSession
-    texts = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    schema = "doc_id long, item_id long, distance int, end long"
+    texts = keyed(docs).select("doc_id", "k_id", "k_text", F.lower("text").alias("text"))
+    schema = "doc_id long, k_id long, k_text long, item_id long, distance int, end long"
     found = spark.createDataFrame([], schema)
     for block in _passes(items):
         matcher = spark.sparkContext.broadcast(Matcher(block, error_rate))

@@ -187,7 +187,7 @@ def training_sample(docs: DataFrame, most: int = SAMPLE_TEXTS) -> list[tuple[str
     return [(r.lang, r.text) for r in ranked.select("lang", "text").orderBy("lang", "text").toLocalIterator()]
 
 
-def _predict(model):
+def _predict(model, rest):
     def run(batches):
         for batch in slices(batches, most=8 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -202,6 +202,7 @@ def _predict(model):
             yield pa.record_batch({
                 "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
                 "lang_pred": pa.array(best, pa.string()), "score": pa.array(sure, pa.float64()),
+                **{name: batch.column(name) for name in rest},
             })
     return run
 
@@ -214,13 +215,18 @@ def identify_languages(docs: DataFrame, vocabulary: str, train: DataFrame | None
     held_out (that remainder is 1), lang_pred and score, the probability of that
     language among those learned. `und` with score 0 if the text is null, empty or
     without a letter, or if nothing could be learned. A null lang is not learned
-    from; a null id counts as the text 'null'; repeated rows get the same results;
-    other columns are ignored; an empty table gives none. Needs no shuffle of texts.
+    from; a null id counts as the text 'null'; repeated rows get the same results; an
+    empty table gives none. If `docs` has a column `rest`, it and the text are returned
+    too; other columns are ignored. Needs no shuffle of texts.
     """
     held_out = third(F.col("doc_id"), 3) == 1
     pairs = training_sample(docs.filter(~held_out) if train is None else train)
     model = docs.sparkSession.sparkContext.broadcast(fit(pairs, read_pieces(vocabulary)))
+    schema, rest = "doc_id long, held_out boolean, lang_pred string, score double", []
+    if "rest" in docs.columns:
+        rest = ["text", "rest"]
+        schema += f", text string, rest {docs.schema['rest'].dataType.simpleString()}"
     return docs.select(
         "doc_id", "text", held_out.alias("held_out"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"),
-    ).mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"), *rest[1:],
+    ).mapInArrow(_predict(model, rest), schema)

@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopdex.llm.common import binary_column, keyed, mix, slices, span_hashes, spans, text_bytes, word_spans
+from hopdex.llm.common import LAST_ID, binary_column, keyed, mix, slices, span_hashes, spans, text_bytes, word_spans
 from hopdex.llm.components import components
-from hopdex.operators.joins import is_small, only_keys
+from hopdex.operators.joins import only_keys
 from hopdex.session import stage
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99
@@ -98,7 +98,7 @@ def _signatures(tokens: int, words: int):
                 "k_id": batch.column("k_id"), "k_text": batch.column("k_text"),
                 "node": pa.array(names, pa.binary()),
                 "tokens": pa.ListArray.from_arrays(
-                    np.arange(0, flat.__len__() + 1, tokens, dtype=np.int32), flat),
+                    np.arange(0, len(flat) + 1, tokens, dtype=np.int32), flat),
             })
     return run
 
@@ -236,10 +236,10 @@ def _compare(threshold: float):
                 if (after == root).all():
                     break
                 root = after
-            nodes = group.column("node").combine_chunks()
-            nodes = nodes.chunk(0) if isinstance(nodes, pa.ChunkedArray) else nodes
+            nodes = group.column("node").to_pylist()
             yield pa.record_batch({
-                "a": nodes.take(pa.array(some)), "b": nodes.take(pa.array(root[some])),
+                "a": pa.array([nodes[i] for i in some], pa.binary()),
+                "b": pa.array([nodes[i] for i in root[some]], pa.binary()),
                 "links": degree[some].astype(np.int64),
             })
     return run
@@ -263,19 +263,21 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, words: int
     Two documents are linked if the Jaccard similarity of their sets of `words`-word
     shingles (lower case, punctuation ignored) is at least `threshold`; links are
     verified exactly, and one at the threshold is found with a chance of at least
-    `recall`. Returns doc_id, class_id (the smallest id in its connected class),
-    n_links (other shingle sets that are linked with the document's own), n_copies
-    (documents with the same set, itself included) and k_id, k_text that name the row.
+    `recall`. Returns doc_id, class_id (the smallest id in its connected class, null if
+    all are), n_links (other shingle sets that are linked with the document's own),
+    n_copies (documents with the same set, itself included), stays (true for the first
+    document of the class) and k_id, k_text that name the row.
 
     A text without words, null or empty, is alone in its class. Shorter texts than a
     shingle are one shingle. A repeated row counts once as a copy and gets its result
     each time; a null id sorts last. Other columns are ignored; an empty table gives
     none.
     """
-    docs = keyed(docs.select("doc_id", F.lower("text").alias("text")))
+    docs = keyed(docs)
     key = ["k_id", "k_text"]
+    low = docs.select(*key, F.lower("text").alias("text"))
     runs = runs_for(recall, threshold, depth)
-    signed = stage(docs.select(*key, "text").mapInArrow(
+    signed = stage(low.mapInArrow(
         _signatures(runs * (depth + 1), words),
         "k_id long, k_text long, node binary, tokens array<long>",
     ), "signatures")
@@ -292,7 +294,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, words: int
     wanted = tasks.repartition("task").sortWithinPartitions("task").mapInArrow(_needed, columns)
     wanted = stage(wanted, "wanted")
     chosen = nodes.join(wanted.select("node").distinct(), "node", "left_semi").select(*key)
-    sets = only_keys(docs.select(*key, "text"), stage(chosen, "chosen"), key)
+    sets = only_keys(low, stage(chosen, "chosen"), key)
     sets = sets.select("text").mapInArrow(_members(words), "node binary, members binary")
     sets = sets.dropDuplicates(["node"])
     compared = wanted.join(sets, "node").repartition("task").sortWithinPartitions("task")
@@ -300,15 +302,15 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, words: int
     found = stage(found, "found")
     degrees = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
     classes = components(found.select("a", "b")).distinct()
-    rooted = nodes.select("node", "k_id", "n_copies").join(classes, "node", "left").join(degrees, "node", "left")
-    rooted = rooted.select("node", "k_id", "n_copies", "n_links", F.coalesce("root", "node").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("k_id").alias("class_id"))
+    rooted = nodes.select("node", *key, "n_copies").join(classes, "node", "left").join(degrees, "node", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min(F.struct(*key)).alias("first"))
     named = rooted.join(smallest, "root").select(
-        "node", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
-    placed = signed.select(*key, "node").distinct().join(named, "node", "left")
-    out = docs.select("doc_id", *key).join(placed, key)
-    return out.select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("n_copies", F.lit(1)).alias("n_copies"), *key,
+        "node", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies")
+    placed = signed.select(*key, "node").distinct().join(named, "node", "left").drop("node")
+    first = F.coalesce("first", F.struct(*key))  # a text without words stands for itself
+    class_id = F.when(first["k_id"] < LAST_ID, first["k_id"])
+    return docs.select("doc_id", *key).join(placed, key).select(
+        "doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("n_copies", F.lit(1)).alias("n_copies"), (first == F.struct(*key)).alias("stays"), *key,
     )

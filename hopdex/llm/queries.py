@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hopdex.llm.bpe import encode_documents
 from hopdex.llm.common import table
 from hopdex.llm.decontaminate import find_contamination
+from hopdex.llm.fuzzy_lines import dedup_lines
 from hopdex.llm.language_id import identify_languages
 from hopdex.llm.line_rules import rate_documents
 from hopdex.llm.ngram_join import similar_documents
@@ -36,7 +37,8 @@ def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_decontamination(spark, folder):
-    return find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("k_id", "k_text")
 
 
 @query
@@ -54,6 +56,12 @@ def op5_quality_mil(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_fuzzy_lines(spark, folder):
+    cut = dedup_lines(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op7_toxicity(spark, folder):
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
