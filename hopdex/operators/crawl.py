@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hopdex.functions.urls import normalize_url
 from hopdex.operators.extract import fetch_state, is_success
 from hopdex.operators.joins import is_small, match_join
+from hopdex.operators.ranking import rank_within
 from hopdex.schemas import SEEDS
 from hopdex.session import shared_folder, stage
 
@@ -22,26 +23,43 @@ SEED_RULES = [
 
 
 def check_seeds(seeds: DataFrame) -> DataFrame:
-    """Seeds with canonical `origin_url` and the first broken rule in `reject_reason`."""
+    """Seeds with canonical `origin_url` and the first broken rule in `reject_reason`.
+
+    A field that is not a number of its type refuses its seed and no other.
+    """
+    malformed = []
     for name, value in SEED_DEFAULTS.items():
         given = F.col(name) if name in seeds.columns else F.lit(None)
-        seeds = seeds.withColumn(name, F.coalesce(given, F.lit(value)).cast(SEEDS[name].dataType))
+        number = given.cast("string").try_cast(SEEDS[name].dataType)
+        malformed.append(F.when(F.col(f"_{name}"), F.lit(f"{name} must be a number")))
+        seeds = seeds.withColumns({
+            f"_{name}": given.isNotNull() & number.isNull(),
+            name: F.when(given.isNull(), F.lit(value).cast(SEEDS[name].dataType)).otherwise(number),
+        })
     seeds = seeds.withColumn("origin_url", normalize_url(F.col("origin")))
     broken = [F.when(~F.expr(rule), F.lit(message)) for rule, message in SEED_RULES]
-    return seeds.withColumn("reject_reason", F.coalesce(*broken))
+    # The origin first, then malformed fields, then the ranges.
+    reason = F.coalesce(broken[0], *malformed, *broken[1:])
+    return seeds.withColumn("reject_reason", reason).drop(*[f"_{name}" for name in SEED_DEFAULTS])
 
 
-def job_id_for(origin_url, max_depth):
-    """A repeatable id for jobs that come without one."""
-    return F.sha2(F.concat_ws("#", origin_url, max_depth.cast("string")), 256)
+def job_id_for(origin_url, max_depth, ordinal):
+    """A repeatable id for jobs that come without one; equal requests differ in `ordinal`."""
+    nth = F.when(ordinal > 1, ordinal.cast("string"))
+    return F.sha2(F.concat_ws("#", origin_url, max_depth.cast("string"), nth), 256)
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    made = job_id_for(F.col("origin_url"), F.col("max_depth"))
-    given = F.col("job_id") if "job_id" in checked.columns else F.lit(None)
-    return checked.filter("reject_reason IS NULL").select(
-        F.coalesce(given, made).alias("job_id"), "origin_url", "max_depth"
-    )
+    """The jobs of the good seeds with their settings. Two equal requests are two jobs."""
+    settings = ["rate_limit", "queue_capacity", "worker_count"]
+    given = F.col("job_id") if "job_id" in checked.columns else F.lit(None).cast("string")
+    good = checked.filter("reject_reason IS NULL").select(
+        given.alias("job_id"), "origin_url", "max_depth", *settings)
+    # Equal rows are alike, so it does not matter which of them comes first.
+    order = [F.col(c) for c in settings]
+    placed = rank_within(good, ["job_id", "origin_url", "max_depth"], order, "_nth")
+    made = job_id_for(F.col("origin_url"), F.col("max_depth"), F.col("_nth"))
+    return placed.select(F.coalesce("job_id", made).alias("job_id"), "origin_url", "max_depth", *settings)
 
 
 def _walk(seeds: DataFrame, step) -> DataFrame:
@@ -62,7 +80,9 @@ def _walk(seeds: DataFrame, step) -> DataFrame:
     def read(levels) -> DataFrame:
         return spark.read.schema(start.schema).parquet(*[f"{root}/hop-{d}" for d in levels])
 
-    start.dropDuplicates(["job_id", "url"]).write.parquet(f"{root}/hop-0")
+    # A job that names an origin twice goes as deep as the deeper request.
+    roots = start.groupBy("job_id", "origin_url", "url", "depth").agg(F.max("max_depth").alias("max_depth"))
+    roots.select(*start.columns).write.parquet(f"{root}/hop-0")
     depth = 0
     while True:
         frontier = read([depth]).filter("depth < max_depth")

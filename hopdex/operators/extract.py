@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 from hopdex.functions.markup import parse_markup
 from hopdex.schemas import PAGES
 
-# Bytes read of a body, and the note put behind a cut one.
+# Bytes that a capped reader takes of a body, and the note put behind a cut one.
 MAX_BODY_BYTES = 1_000_000
-CUT_NOTE = f"\n[truncated after {MAX_BODY_BYTES} bytes]"
+CUT_NOTE = "\n[truncated after {} bytes]"
 
 _DECODED = T.StructType(
     [T.StructField("text", T.StringType()), T.StructField("failure", T.StringType())]
@@ -57,10 +57,6 @@ def _decode_udf(body: pd.Series, encoding: pd.Series, zipped: pd.Series) -> pd.D
     return pd.DataFrame(rows, columns=_DECODED.names, index=body.index)
 
 
-def cut_body(body: Column) -> Column:
-    return F.substring(body, 1, MAX_BODY_BYTES)
-
-
 def error_text(status: Column, error: Column) -> Column:
     """Error column of a page: transport failures, then HTTP status, else NULL."""
     ready = F.startswith(error, F.lit("URL error: ")) | F.startswith(
@@ -78,12 +74,19 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(url, r"^https?://[^/?#]*([^?#]*)", 1)
 
 
-def parse_responses(responses: DataFrame, fetched_at: Column | None = None) -> DataFrame:
+def parse_responses(responses: DataFrame, fetched_at: Column | None = None,
+                    max_body_bytes: int | None = None) -> DataFrame:
     """One page row per response. One scan, no shuffle.
 
+    Bodies are taken whole. With `max_body_bytes` a longer one is cut there, before
+    it is unpacked, and its text says so.
+
     Plain UTF-8 bodies are decoded in the JVM; compressed, oddly encoded or
     invalid ones reach the decoding UDF, the others pass it as NULL.
     """
+    body, cut = F.coalesce("body", F.lit(b"")), F.lit(False)
+    if max_body_bytes is not None:
+        body, cut = F.substring(body, 1, max_body_bytes), F.length("body") > max_body_bytes
     r = responses.withColumn("_failed", error_text(F.col("status"), F.col("error")))
     content_type = header(F.col("headers"), "content-type")
     r = r.select(
@@ -94,8 +97,8 @@ def parse_responses(responses: DataFrame, fetched_at: Column | None = None) -> D
         charset(content_type).alias("_charset"),
         F.contains(F.lower(F.coalesce(header(F.col("headers"), "content-encoding"), F.lit(""))),
                    F.lit("gzip")).alias("_zipped"),
-        F.when(F.col("_failed").isNull(), cut_body(F.coalesce("body", F.lit(b"")))).alias("_body"),
-        (F.length("body") > MAX_BODY_BYTES).alias("_cut"),
+        F.when(F.col("_failed").isNull(), body).alias("_body"),
+        cut.alias("_cut"),
         (fetched_at if fetched_at is not None else F.current_timestamp()).alias("fetched_at"),
     )
     plain = (
@@ -109,15 +112,15 @@ def parse_responses(responses: DataFrame, fetched_at: Column | None = None) -> D
     )
     is_html = F.contains("_media", F.lit("html"))
     r = r.withColumn("_html", parse_markup(F.when(is_html, F.col("_text")), F.col("url")))
-    return _page_columns(r, is_html)
+    return _page_columns(r, is_html, CUT_NOTE.format(max_body_bytes))
 
 
-def _page_columns(r: DataFrame, is_html: Column) -> DataFrame:
+def _page_columns(r: DataFrame, is_html: Column, note: str) -> DataFrame:
     failure = F.coalesce("_failed", "_rest.failure", "_html.failure")
     ok = failure.isNull()
     path = F.coalesce(F.nullif(url_path(F.col("url")), F.lit("")), F.col("url"))
     text = F.when(is_html, F.col("_html.text")).otherwise(F.col("_text"))
-    noted = F.when(F.col("_cut"), F.concat(text, F.lit(CUT_NOTE))).otherwise(text)
+    noted = F.when(F.col("_cut"), F.concat(text, F.lit(note))).otherwise(text)
     no_links = F.array().cast("array<string>")
     http_status = F.when(F.startswith("_failed", F.lit("HTTP ")), F.col("status")).otherwise(0)
     return r.select(
@@ -132,8 +135,8 @@ def _page_columns(r: DataFrame, is_html: Column) -> DataFrame:
     ).select(*PAGES.names)
 
 
-def parse_html_pages(raw: DataFrame, fetched_at: Column | None = None) -> DataFrame:
-    """Page rows from (url, html) rows that are known to be answered HTML."""
+def parse_html_pages(raw: DataFrame, fetched_at: Column | None = None, keep: list[str] = ()) -> DataFrame:
+    """Page rows from (url, html) rows that are known to be answered HTML; `keep` names more columns."""
     parsed = raw.withColumn("_html", parse_markup(F.col("html"), F.col("url")))
     ok = F.col("_html.failure").isNull()
     return parsed.select(
@@ -144,6 +147,7 @@ def parse_html_pages(raw: DataFrame, fetched_at: Column | None = None) -> DataFr
         (fetched_at if fetched_at is not None else F.current_timestamp()).alias("fetched_at"),
         F.when(ok, 200).otherwise(0).alias("status_code"),
         F.col("_html.failure").alias("error"),
+        *keep,
     )
 
 

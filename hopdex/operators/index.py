@@ -15,7 +15,8 @@ def build_postings(pages: DataFrame) -> DataFrame:
     `pages` has one row per URL, so every term of a URL is counted inside its
     row: no shuffle, whatever the number of pages.
     """
-    counts = field_counts(tokenize(F.col("text")), tokenize(F.col("title")))
+    text, title = F.coalesce("text", F.lit("")), F.coalesce("title", F.lit(""))
+    counts = field_counts(tokenize(text), tokenize(title))
     return pages.filter(is_success()).select("url", F.inline(counts)).select(
         "term", "url", "frequency", "title_hits"
     )
@@ -33,7 +34,7 @@ def build_word_entries(pages: DataFrame, discoveries: DataFrame) -> DataFrame:
     few = is_small(discoveries)
     if few:  # a short list of discoveries: count only the pages it names
         pages = only_keys(pages, discoveries, ["url"])
-    counted = pages.select("url", term_counts(tokenize(F.col("text"))).alias("counts"))
+    counted = pages.select("url", term_counts(tokenize(F.coalesce("text", F.lit("")))).alias("counts"))
     if few:
         joined = counted.join(F.broadcast(provenance), "url")
     else:

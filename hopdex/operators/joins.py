@@ -20,6 +20,28 @@ def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return not df.select(F.lit(1).alias("_one")).offset(rows).limit(1).collect()
 
 
+# A side with rows of any width is broadcast up to this many bytes.
+BROADCAST_BYTES = 32 << 20
+
+
+def is_light(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of `df`, a written table, take at most `most` bytes.
+
+    Text and nested columns count by their JSON or text length, others as eight bytes.
+    """
+    size = F.lit(16)
+    for column in df.schema.fields:
+        kind = column.dataType.typeName()
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column.name), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column.name))), F.lit(0))
+        else:
+            size = size + 8
+    total = df.agg(F.sum(size.cast("bigint"))).first()[0]
+    return (total or 0) <= most
+
+
 def _hot_keys(df: DataFrame, on: list[str], hot_rows: int, name: str) -> DataFrame | None:
     """Keys with more than `hot_rows` rows and the number of pieces to cut them in.
 
@@ -32,7 +54,9 @@ def _hot_keys(df: DataFrame, on: list[str], hot_rows: int, name: str) -> DataFra
         .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias(name))
     )
     hot = stage(hot, "hot")  # counted once, used on both sides
-    return None if hot.isEmpty() else F.broadcast(hot)
+    if hot.isEmpty():
+        return None
+    return F.broadcast(hot) if is_small(hot) else hot
 
 
 def _cut(df: DataFrame, hot: DataFrame, on: list[str], name: str, by: list[str]) -> DataFrame:
@@ -73,9 +97,9 @@ def match_join(
     """
     if how != "inner" and (right_spread or broadcast == "left"):
         raise ValueError("only an inner join can cut or broadcast both sides")
-    if broadcast == "right" and is_small(right, small_rows):
+    if broadcast == "right" and is_small(right, small_rows) and _narrow(right):
         return left.join(F.broadcast(right), on, how)
-    if broadcast == "left" and is_small(left, small_rows):
+    if broadcast == "left" and is_small(left, small_rows) and _narrow(left):
         return F.broadcast(left).join(right, on, how)
     keys = list(on)
     if left_spread:
@@ -93,6 +117,12 @@ def match_join(
     return left.join(right, keys, how).drop("_left_piece", "_right_piece")
 
 
+def _narrow(df: DataFrame) -> bool:
+    """Whether a side with few rows may be broadcast: no wide column, or few bytes by count."""
+    kinds = {f.dataType.typeName() for f in df.schema.fields}
+    return not kinds & {"string", "binary", "array", "map", "struct"} or is_light(df)
+
+
 def only_keys(df: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
     """Rows of `df` whose key occurs in `wanted`; a short `wanted` is broadcast."""
     keys = wanted.select(*on)

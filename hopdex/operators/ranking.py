@@ -17,7 +17,8 @@ def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str)
     both steps must see the same places even when an executor is lost in between.
     """
     keys = [F.col(c) for c in group] + order
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
+    # Ranging samples its input, which is therefore written first.
+    placed = stage(df, "unranked").repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(
         "_place", F.monotonically_increasing_id()
     )
     placed = stage(placed, "ranked").withColumn("_part", F.shiftright("_place", 33))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hopdex.functions.text import term_counts, tokenize
 from hopdex.operators.extract import is_success
 from hopdex.operators.index import with_letter
-from hopdex.operators.joins import is_small, match_join
+from hopdex.operators.joins import is_light, is_small, match_join
 from hopdex.operators.ranking import rank_within
 from hopdex.session import stage
 
@@ -40,7 +40,9 @@ def _matches(index: DataFrame, terms: DataFrame) -> DataFrame:
     if "letter" in index.columns:
         terms, on = with_letter(terms, "term"), ["letter", "term"]
         index = _asked_part(index, terms)
-    return match_join(index, terms, on, ["url"], ["query_id"])
+    # A page can be found from very many origins: all columns that tell rows apart spread them.
+    spread = [c for c in ("url", "origin_url", "depth") if c in index.columns]
+    return match_join(index, terms, on, spread, ["query_id"])
 
 
 def _asked_part(index: DataFrame, terms: DataFrame) -> DataFrame:
@@ -64,10 +66,14 @@ def _titled(scored: DataFrame, pages: DataFrame, how: str) -> DataFrame:
     by a broadcast of the result's URLs.
     """
     titles = pages.select("url", "title")
+    spread = [c for c in ("query_id", "origin_url", "depth") if c in scored.columns]
     if is_small(scored):
         needed = titles.join(F.broadcast(scored.select("url").distinct()), "url", "left_semi")
-        return scored.join(F.broadcast(needed), "url", how)
-    return match_join(scored, titles, ["url"], ["query_id"], how=how, broadcast=None)
+        needed = stage(needed, "titles")
+        if is_light(needed):  # a title can be as long as its page
+            return scored.join(F.broadcast(needed), "url", how)
+        titles = needed
+    return match_join(scored, titles, ["url"], spread, how=how, broadcast=None)
 
 
 def search_default(
@@ -77,7 +83,7 @@ def search_default(
 
     Every discovery of a matching page gives a row, so two jobs give two rows.
     """
-    gain = F.col("frequency") + TITLE_WEIGHT * F.col("title_hits")
+    gain = F.col("frequency").cast("bigint") + TITLE_WEIGHT * F.col("title_hits").cast("bigint")
     scored = (
         _matches(postings, query_terms(queries))
         .groupBy("query_id", "url")
@@ -89,7 +95,8 @@ def search_default(
     scored = stage(scored, "scored")
     titled = _titled(scored, pages.filter(is_success()), "inner")
     known = discoveries.select("job_id", "url", "origin_url", "depth")
-    if is_small(scored):  # titles are unique per URL, so `titled` is no longer
+    titled = stage(titled, "titled")
+    if is_light(titled):
         found = known.join(F.broadcast(titled), "url")
     else:
         found = match_join(known, titled, ["url"], ["job_id"], ["query_id"], broadcast=None)
@@ -150,8 +157,19 @@ def ranked(results: DataFrame) -> DataFrame:
     return rank_within(results, ["query_id"], order, "position")
 
 
+def plain_result_json(results: DataFrame) -> DataFrame:
+    """(query_id, result): the shorter document that a search without `sort_by` answers with."""
+    # The keys of the document, in this order.
+    document = F.struct(
+        F.col("relevant_url").alias("url"), "relevant_url", "origin_url", "depth", "frequency", "score", "title",
+    )
+    return results.select(
+        "query_id", F.to_json(document, {"ignoreNullFields": "false"}).alias("result"))
+
+
 def result_json(results: DataFrame) -> DataFrame:
     """(query_id, sort_by, result): one JSON document per result row."""
+    # The keys of the document, in this order.
     relevance = F.when(F.col("sort_by") == "relevance", F.col("score"))
     document = F.struct(
         F.col("relevant_url").alias("url"),

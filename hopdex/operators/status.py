@@ -12,14 +12,17 @@ from hopdex.session import stage
 # stops counting as active, and the states that are final.
 LOG_VIEW_ROWS = 100
 RECENT_SECONDS = 2
+# Largest rank limit that Spark applies before a shuffle.
+WINDOW_ROWS = 1000
 FINAL_STATES = ["completed", "failed", "interrupted"]
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
     """One row: pages_indexed, pages_failed, visited_urls."""
+    good = F.coalesce(is_success(), F.lit(False))  # a page without a status is not a good one
     return pages.agg(
-        F.count_if(is_success()).alias("pages_indexed"),
-        F.count_if(~is_success()).alias("pages_failed"),
+        F.count_if(good).alias("pages_indexed"),
+        F.count_if(~good).alias("pages_failed"),
         F.count("*").alias("visited_urls"),
     )
 
@@ -44,7 +47,7 @@ def global_status(live: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def with_history_defaults(history: DataFrame) -> DataFrame:
-    """Columns that only a live job fills: 0 or false for stored ones."""
+    """Columns that only a live job fills (fixed values): 0 or false for stored ones."""
     zero, no = F.lit(0), F.lit(False)
     return history.withColumns(
         {
@@ -114,9 +117,14 @@ def backpressure_recent(events: DataFrame, message: str, asof: Column | None = N
 def recent_logs(logs: DataFrame, rows: int = LOG_VIEW_ROWS) -> DataFrame:
     """The last `rows` entries of every job with their place, oldest first.
 
-    The rank limit is also applied before the shuffle, so a task sends at most
-    `rows` entries per job on, however long the log of a job is.
+    Up to WINDOW_ROWS the rank limit is also applied before the shuffle, so a task
+    sends at most `rows` entries per job on, however long the log of a job is. Longer
+    views are ranked by ranges, which puts no whole log into one task either.
     """
+    if rows > WINDOW_ROWS:
+        ranked = rank_within(logs, ["job_id"], [F.desc("id")], "_back").filter(F.col("_back") <= rows)
+        return rank_within(ranked.drop("_back"), ["job_id"], [F.col("id")], "line").withColumn(
+            "line", F.col("line").cast("int"))
     last_first = Window.partitionBy("job_id").orderBy(F.desc("id"))
     kept = logs.withColumn("_back", F.row_number().over(last_first)).filter(F.col("_back") <= rows)
     oldest_first = Window.partitionBy("job_id").orderBy("id")

@@ -2,9 +2,9 @@
 
 pages          -> fetched pages, link discoveries, word entries
 documents      -> plain-text pages
-lineitem       -> a cyclic supplier-part link graph and a bag of discoveries
+lineitem       -> a bag of discoveries
 region..orders -> a link tree
-orders         -> crawl jobs
+orders         -> crawl jobs and a cyclic customer-order link graph
 events         -> job logs
 benchmark      -> search batches
 """
@@ -116,11 +116,10 @@ def tree_edges(spark: SparkSession, folder: str) -> DataFrame:
     return nations.unionByName(customers).unionByName(orders)
 
 
-def supply_edges(spark: SparkSession, folder: str) -> DataFrame:
-    """supplier <-> part links in both directions."""
-    pairs = table(spark, folder, "lineitem").select(
-        node_url("supplier", "l_suppkey").alias("a"), node_url("part", "l_partkey").alias("b")
-    ).distinct()
+def order_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """customer <-> order links in both directions: as many as orders, with cycles."""
+    pairs = table(spark, folder, "orders").select(
+        node_url("customer", "o_custkey").alias("a"), node_url("order", "o_orderkey").alias("b"))
     forth = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     return forth.unionByName(pairs.select(F.col("b").alias("src"), F.col("a").alias("dst")))
 

@@ -1,5 +1,8 @@
 """The queries, by name. Each takes (spark, folder) and returns a DataFrame."""
 
+import gzip
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,7 +10,7 @@ from hopdex.functions.text import collapse_ws, letter_of, term_counts, tokenize
 from hopdex.functions.urls import host_of, normalize_url
 from hopdex.operators import crawl as walk
 from hopdex.operators import index, search, status
-from hopdex.operators.extract import edges, parse_responses
+from hopdex.operators.extract import MAX_BODY_BYTES, edges, parse_html_pages, parse_responses
 from hopdex.operators.joins import newest
 from hopdex.operators.upsert import mark_interrupted, upsert
 from hopdex.plans import corpus
@@ -52,22 +55,19 @@ def page_links(spark, folder):
 
 @query
 def links_distinct(spark, folder):
-    """Raw link targets of a page against the distinct ones, order kept."""
-    raw = corpus.raw_pages(spark, folder)
+    """Pages that hold every link twice, through the parser: distinct links, order kept."""
+    raw = corpus.raw_pages(spark, folder).withColumn("html", F.concat("html", "html"))
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    doubled = raw.select("url", F.concat(hrefs, F.reverse(hrefs)).alias("hrefs"))
-    return doubled.select(
-        "url", F.size("hrefs").cast("bigint").alias("n_raw"),
-        F.array_join(F.array_distinct("hrefs"), " ").alias("hrefs"),
-    )
+    counts = raw.withColumn("n_raw", F.size(hrefs).cast("bigint"))
+    parsed = parse_html_pages(counts, F.lit(0).cast("timestamp"), keep=["n_raw"])
+    return parsed.select("url", "n_raw", F.array_join("links", " ").alias("links"))
 
 
 @query
 def links_json(spark, folder):
     stored = tables.pages_with_json_links(corpus.fetched_pages(spark, folder))
-    loaded = tables.pages_from_json_links(stored)
-    counts = loaded.select("url", F.size("links").cast("bigint").alias("n_links"))
-    return stored.select("url", "links_json").join(counts, "url")
+    loaded = tables.pages_from_json_links(stored, keep_json=True)
+    return loaded.select("url", "links_json", F.size("links").cast("bigint").alias("n_links"))
 
 
 @query
@@ -88,15 +88,16 @@ def content_dispatch(spark, folder):
 
 @query
 def truncate_body(spark, folder):
-    """Documents repeated into bodies, some above the size limit, as plain text."""
-    text = F.repeat(F.regexp_replace("text", "[^ -~]", "?"), F.lit(12))
+    """Documents repeated into bodies, every tenth far above the size limit, as plain text."""
+    times = F.when(F.col("doc_id") % 10 == 0, 500).otherwise(2)
+    text = F.repeat(F.regexp_replace("text", "[^ -~]", "?"), times)
     responses = tables.spread_if_few(corpus.table(spark, folder, "documents")).select(
         F.concat(F.lit("http://site.test/doc/"), F.col("doc_id").cast("string")).alias("url"),
         F.lit(200).alias("status"),
         F.create_map(F.lit("Content-Type"), F.lit("text/plain")).alias("headers"),
         F.encode(text, "utf-8").alias("body"), F.lit(None).cast("string").alias("error"),
     )
-    return parse_responses(responses).select(
+    return parse_responses(responses, max_body_bytes=MAX_BODY_BYTES).select(
         "url", F.length("text").cast("bigint").alias("n_chars"),
         F.md5(F.encode("text", "utf-8")).alias("text_md5"), "title",
     )
@@ -104,19 +105,45 @@ def truncate_body(spark, folder):
 
 @query
 def error_classes(spark, folder):
-    """Orders as responses: answered, refused by status, failed in transport."""
-    code = F.col("o_orderstatus")
+    """Orders as responses: answered, moved, refused or broken by status, failed in transport or within."""
+    kind = F.col("o_orderkey") % 6
     body = F.encode("o_orderpriority", "utf-8")
     responses = corpus.table(spark, folder, "orders").select(
         corpus.node_url("order", "o_orderkey").alias("url"),
-        F.when(code == "F", 404).when(code == "P", 0).otherwise(200).alias("status"),
+        F.element_at(F.array(*map(F.lit, [200, 404, 503, 302, 0, 0])), (kind + 1).cast("int")).alias("status"),
         F.create_map(F.lit("Content-Type"), F.lit("text/plain")).alias("headers"),
-        F.when(code == "O", body).alias("body"),
-        F.when(code == "P", F.lit("timed out")).alias("error"),
+        F.when(kind == 0, body).alias("body"),
+        F.when(kind == 4, "timed out").when(kind == 5, "unexpected error: no memory").alias("error"),
     )
     return parse_responses(responses).select("url", "status_code", "error", "text")
 
 
+@F.pandas_udf("binary")
+def _gzipped(bodies: pd.Series) -> pd.Series:
+    return bodies.map(lambda b: None if b is None else gzip.compress(b))
+
+
+@query
+def decode_bodies(spark, folder):
+    """Documents in three encodings, one of them packed, as they come out of the reader."""
+    kind = F.col("doc_id") % 3
+    text = F.regexp_replace("text", "[^\\x00-\\xff]", "?")
+    body = (
+        F.when(kind == 0, F.encode(text, "ISO-8859-1")).when(kind == 1, F.encode(text, "UTF-16LE"))
+        .otherwise(F.encode(text, "UTF-8"))
+    )
+    packed = _gzipped(F.when(kind == 2, body))
+    charset = F.when(kind == 0, "ISO-8859-1").when(kind == 1, "utf-16le").otherwise("UTF-8")
+    responses = corpus.table(spark, folder, "documents").select(
+        F.concat(F.lit("http://site.test/doc/"), F.col("doc_id").cast("string")).alias("url"),
+        F.lit(200).alias("status"),
+        F.create_map(F.lit("Content-Type"), F.concat(F.lit("text/plain; charset="), charset),
+                     F.lit("Content-Encoding"), F.when(kind == 2, "gzip").otherwise("identity")).alias("headers"),
+        F.coalesce(packed, body).alias("body"), F.lit(None).cast("string").alias("error"),
+    )
+    return parse_responses(responses).select("url", F.md5(F.encode("text", "utf-8")).alias("text_md5"), "error")
+
+
 # -- text and URLs -----------------------------------------------------------
 
 @query
@@ -202,16 +229,29 @@ def resolve_links(spark, folder):
 
 @query
 def seed_validation(spark, folder):
-    """Customers as seeds, some of them broken."""
-    origin = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("mailto:x@y")).otherwise(
-        F.concat(F.lit("HTTP://Site.Test:80/c/"), F.col("c_custkey").cast("string"))
+    """Customers as seeds, broken in every way that a rule knows."""
+    key = F.col("c_custkey")
+    origin = F.when(key % 9 == 0, F.lit("mailto:x@y")).otherwise(
+        F.concat(F.lit("HTTP://Site.Test:80/c/"), key.cast("string"))
     )
     seeds = corpus.table(spark, folder, "customer").select(
-        F.col("c_custkey").cast("string").alias("job_id"), origin.alias("origin"),
-        (F.col("c_nationkey") - 3).alias("max_depth"), F.col("c_nationkey").alias("queue_capacity"),
+        key.cast("string").alias("job_id"), origin.alias("origin"),
+        (key % 5 - 1).alias("max_depth"), (key % 7).alias("queue_capacity"),
         F.col("c_acctbal").alias("rate_limit"),
+        F.when(key % 11 == 0, "many").otherwise((key % 4).cast("string")).alias("worker_count"),
     )
-    return walk.check_seeds(seeds).select("job_id", "origin_url", "max_depth", "reject_reason")
+    return walk.check_seeds(seeds).select(
+        "job_id", "origin_url", F.col("max_depth").cast("bigint").alias("max_depth"), "reject_reason")
+
+
+@query
+def seed_duplicates(spark, folder):
+    """Equal requests without ids, one per customer of a nation: each is a job of its own."""
+    seeds = corpus.table(spark, folder, "customer").select(
+        corpus.node_url("nation", "c_nationkey").alias("origin"), (F.col("c_nationkey") % 3).alias("max_depth"))
+    jobs = walk.accepted(walk.check_seeds(seeds))
+    return jobs.groupBy("origin_url").agg(
+        F.count_distinct("job_id").alias("n_jobs"), F.max("max_depth").cast("bigint").alias("max_depth"))
 
 
 @query
@@ -227,14 +267,13 @@ def bfs_depths(spark, folder):
 
 @query
 def bfs_multi_seed(spark, folder):
-    """From every supplier through the cyclic supplier-part graph, own depth each."""
-    depth = F.when(F.col("s_acctbal") < 0, 1).otherwise(2)
-    seeds = corpus.table(spark, folder, "supplier").select(
-        F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("job_id"),
-        corpus.node_url("supplier", "s_suppkey").alias("origin_url"), depth.alias("max_depth"),
+    """From every customer through the cyclic customer-order graph, own depth each."""
+    depth = F.when(F.col("c_acctbal") < 0, 1).otherwise(3)
+    seeds = corpus.table(spark, folder, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("job_id"),
+        corpus.node_url("customer", "c_custkey").alias("origin_url"), depth.alias("max_depth"),
     )
-    links = stage(corpus.supply_edges(spark, folder), "edges")
-    return walk.crawl_edges(seeds, links)
+    return walk.crawl_edges(seeds, stage(corpus.order_edges(spark, folder), "edges"))
 
 
 def _page_crawl(spark, folder):
@@ -324,11 +363,8 @@ def word_entry_upsert(spark, folder):
     held = entries.filter(F.startswith("origin_url", F.lit("http://")))
     stale = F.when(F.startswith("word", F.lit("a")), F.col("frequency") + 1)
     held = held.withColumn("frequency", F.coalesce(stale, F.col("frequency")))
-    store.write("word_entries", held, 0)
-    store.commit(0, ["word_entries"])
-    changed = index.changed_entries(entries, store.read("word_entries", before=1))
-    store.write("word_entries", changed, 1)
-    store.commit(1, ["word_entries"])
+    store.add(word_entries=held)
+    store.add(word_entries=index.changed_entries(entries, store.read("word_entries")))
     return _bigints(store.read("word_entries"))
 
 
@@ -337,9 +373,8 @@ def word_entries_rebuild(spark, folder):
     """A store rebuilt from pages and discoveries replaces what it held before."""
     store = IndexStore(spark, shared_folder(spark, "store"))
     entries = stage(_entries(spark, folder), "entries")
-    store.write("word_entries", entries.withColumn("frequency", F.lit(-1)), 0)
-    store.commit(0, ["word_entries"])
-    store.replace("word_entries", entries, 1)
+    store.add(word_entries=entries.withColumn("frequency", F.lit(-1)))
+    store.replace("word_entries", entries)
     return _bigints(store.read("word_entries"))
 
 
@@ -415,6 +450,11 @@ def search_mixed(spark, folder):
     return _bigints(_search_all(spark, folder))
 
 
+@query
+def search_plain_json(spark, folder):
+    return search.plain_result_json(_default_results(spark, folder))
+
+
 @query
 def search_json(spark, folder):
     return search.result_json(_search_all(spark, folder))
@@ -425,7 +465,7 @@ def search_stored_index(spark, folder):
     """Default search over postings read back from the store."""
     queries, pages, found = _search_inputs(spark, folder)
     store = IndexStore(spark, shared_folder(spark, "store"))
-    store.replace("postings", index.build_postings(pages), 0)
+    store.replace("postings", index.build_postings(pages))
     asked = queries.filter("sort_by = 'default'")
     return _bigints(search.search_default(asked, store.read("postings"), pages, found))
 
@@ -483,9 +523,10 @@ def jobs_newest(spark, folder):
 
 @query
 def discoveries_with_origin(spark, folder):
-    return tables.with_origin(
-        corpus.line_discoveries(spark, folder), corpus.order_jobs(spark, folder)
-    ).select("job_id", "url", "depth", "origin_url")
+    """Only running and completed orders are jobs; lines of others are orphans."""
+    known = corpus.order_jobs(spark, folder).filter("status <> 'created'")
+    return tables.with_origin(corpus.line_discoveries(spark, folder), known).select(
+        "job_id", "url", "depth", "origin_url")
 
 
 def _live_jobs(spark, folder):
@@ -540,7 +581,37 @@ def backpressure_recent(spark, folder):
 
 @query
 def recent_logs(spark, folder):
-    return _bigints(status.recent_logs(corpus.event_logs(spark, folder)))
+    """Event types as jobs, each with far more lines than a view shows."""
+    logs = corpus.event_logs(spark, folder).withColumn("job_id", F.col("message"))
+    return _bigints(status.recent_logs(logs))
+
+
+@query
+def recent_logs_long(spark, folder):
+    """The same with a view that is too long for a rank limit."""
+    logs = corpus.event_logs(spark, folder).withColumn("job_id", F.col("message"))
+    return _bigints(status.recent_logs(logs, rows=1500))
+
+
+@query
+def log_append(spark, folder):
+    """Job logs appended to the store in three writes, read back for the jobs that have errors."""
+    store = IndexStore(spark, shared_folder(spark, "store"))
+    logs = corpus.event_logs(spark, folder)
+    for part in range(3):
+        store.add(logs=logs.filter(F.col("id") % 3 == part))
+    return store.read("logs").groupBy("job_id").agg(
+        F.count("*").alias("n_lines"), F.max("id").alias("last_id"),
+        F.count_if(F.col("message") == "error").alias("n_errors"))
+
+
+@query
+def job_lookup(spark, folder):
+    """One live order and its place among live and stored jobs."""
+    history = corpus.order_jobs(spark, folder).drop("priority").withColumn("status", F.lit("stored"))
+    both = status.live_and_history(_live_jobs(spark, folder), history)
+    return status.job_lookup(both, "1").select("job_id", "origin_url", "status").unionByName(
+        status.job_lookup(both, "no such job").select("job_id", "origin_url", "status"))
 
 
 @query
@@ -559,20 +630,114 @@ def job_status_latest(spark, folder):
 
 # -- streams -----------------------------------------------------------------
 
+def _responses(raw):
+    """Pages as responses; cut-off ones were answered with an error."""
+    whole = F.endswith("html", F.lit("</html>"))
+    html = F.create_map(F.lit("Content-Type"), F.lit("text/html; charset=utf-8"))
+    return raw.select(
+        "url", F.when(whole, 200).otherwise(503).alias("status"), html.alias("headers"),
+        F.encode("html", "utf-8").alias("body"), F.lit(None).cast("string").alias("error"),
+    )
+
+
+class _Arrivals:
+    """Three deliveries of pages; each offers the one before again, spelled otherwise."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.inbox = spark, shared_folder(spark, "inbox")
+        self.store = IndexStore(spark, shared_folder(spark, "store"))
+        self.offsets = shared_folder(spark, "offsets")
+        self.raw = corpus.raw_pages(spark, folder)
+
+    def deliver(self, part):
+        again = self.raw.filter(F.col("page_id") % 3 == part - 1).select(
+            "page_id", F.regexp_replace("url", "^http", "HTTP").alias("url"),
+            F.lit("<p>offered before</p></html>").alias("html"))
+        rows = self.raw.filter(F.col("page_id") % 3 == part).unionByName(again)
+        _responses(rows).coalesce(4).write.mode("append").parquet(self.inbox)
+
+    def stream(self, max_files=1000):
+        """Index what has arrived, always from the same offsets into the same store."""
+        source = ingest.read_response_stream(self.spark, self.inbox, max_files=max_files)
+        ingest.index_stream(source, self.store, self.offsets).awaitTermination()
+
+    def known_jobs(self, nth):
+        """Record the first or the second job of every host."""
+        found = corpus.host_jobs(self.raw.select("page_id", "url")).filter(F.endswith("job_id", F.lit(f"#{nth}")))
+        found = stage(found, "found")
+        at = F.timestamp_seconds(F.lit(0))
+        jobs = found.select("job_id", "origin_url").distinct().select(
+            "job_id", "origin_url", F.lit(3).alias("max_depth"), F.lit(4.0).alias("rate_limit"),
+            F.lit(100).alias("queue_capacity"), F.lit(4).alias("worker_count"), F.lit("running").alias("status"),
+            at.alias("created_at"), at.alias("updated_at"),
+            *[F.lit(0).cast("bigint").alias(c) for c in (
+                "pages_discovered", "pages_indexed", "queue_backpressure_count", "rate_backpressure_count")])
+        ingest.record_discoveries(self.store, jobs, found.select("job_id", "url", "depth"))
+
+
 @query
 def stream_postings(spark, folder):
-    """Pages streamed into the store as responses; the postings they leave there."""
-    inbox = shared_folder(spark, "inbox")
-    raw = corpus.raw_pages(spark, folder)
-    html = F.create_map(F.lit("Content-Type"), F.lit("text/html"))
-    raw.select(
-        "url", F.lit(200).alias("status"), html.alias("headers"),
-        F.encode("html", "utf-8").alias("body"), F.lit(None).cast("string").alias("error"),
-    ).write.parquet(inbox)
+    """Pages streamed into the store in three batches with repeats; the postings they leave."""
+    arrivals = _Arrivals(spark, folder)
+    for part in range(3):
+        arrivals.deliver(part)
+        arrivals.stream()
+    return _bigints(arrivals.store.read("postings").drop("letter"))
+
+
+@query
+def store_compact_then_stream(spark, folder):
+    """As `stream_postings`, the tables compacted between the batches."""
+    arrivals = _Arrivals(spark, folder)
+    for part in range(3):
+        arrivals.deliver(part)
+        arrivals.stream()
+        arrivals.store.compact("pages")
+        arrivals.store.compact("postings")
+    return _bigints(arrivals.store.read("postings").drop("letter"))
+
+
+@query
+def store_late_job(spark, folder):
+    """Half of the jobs come between the batches; the word entries are those of all."""
+    arrivals = _Arrivals(spark, folder)
+    arrivals.known_jobs(1)
+    for part in range(3):
+        arrivals.deliver(part)
+        arrivals.stream()
+        if part == 1:
+            arrivals.known_jobs(2)
+    return _bigints(arrivals.store.read("word_entries").drop("letter"))
+
+
+@query
+def store_recover_then_stream(spark, folder):
+    """Jobs that a recovery has interrupted stay so while the stream goes on."""
+    arrivals = _Arrivals(spark, folder)
+    arrivals.known_jobs(1)
+    arrivals.deliver(0)
+    arrivals.stream()
+    ingest.recover(arrivals.store)
+    for part in (1, 2):
+        arrivals.deliver(part)
+        arrivals.stream()
+    jobs = arrivals.store.read("jobs").select("job_id", "status")
+    entries = arrivals.store.read("word_entries").groupBy("origin_url").agg(F.count("*").alias("n_entries"))
+    origins = arrivals.store.read("jobs").select("job_id", "origin_url")
+    return jobs.join(origins, "job_id").join(entries, "origin_url", "left").select(
+        "job_id", "status", F.coalesce("n_entries", F.lit(0)).alias("n_entries"))
+
+
+@query
+def job_run(spark, folder):
+    """Every page as the origin of a one-hop job, run over the store to its end."""
     store = IndexStore(spark, shared_folder(spark, "store"))
-    responses = ingest.read_response_stream(spark, inbox)
-    ingest.index_stream(responses, store, shared_folder(spark, "offsets")).awaitTermination()
-    return _bigints(store.read("postings").drop("letter"))
+    raw = corpus.raw_pages(spark, folder)
+    ingest.index_responses(store, _responses(raw))
+    seeds = raw.select(
+        F.col("page_id").cast("string").alias("job_id"), F.col("url").alias("origin"), F.lit(1).alias("max_depth"))
+    ingest.run_jobs(store, seeds)
+    return store.read("jobs").select("job_id", "status", "pages_discovered", "pages_indexed")
 
 
 @query
@@ -580,7 +745,7 @@ def stream_event_counters(spark, folder):
     """Events streamed into running per-job counts; the latest count of each."""
     where = shared_folder(spark, "counters")
     schema = corpus.table(spark, folder, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    source = tables.stream_of_table(spark, folder, "events", schema)
     events = source.select(
         F.col("user_id").cast("string").alias("job_id"), F.col("event_type").alias("message")
     )

@@ -33,6 +33,7 @@ parsed AS (
     {_collapsed(_unescape("regexp_replace(body, '(?is)<title>.*?</title>|<[^>]*>', ' ', 'g')"))} AS text
   FROM opened
 ),
+answered AS (SELECT * FROM parsed WHERE html LIKE '%</html>'),
 hrefs AS (
   SELECT url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href,
     generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1) AS pos
@@ -143,10 +144,8 @@ FROM parsed LEFT JOIN link_lists USING (url)"""),
     "page_text": _with(PARSED, "SELECT url, text FROM parsed"),
     "page_links": _with(PARSED, "SELECT url AS src, position, dst FROM linked"),
     "links_distinct": _with(PARSED, """
-SELECT url, 2 * any_value(n) AS n_raw, string_agg(href, ' ' ORDER BY pos) AS hrefs FROM (
-  SELECT url, href, min(pos) AS pos FROM hrefs GROUP BY ALL)
-JOIN (SELECT url, count(*) AS n FROM hrefs GROUP BY url) USING (url) GROUP BY url
-UNION ALL SELECT url, 0, '' FROM raw WHERE url NOT IN (SELECT url FROM hrefs)"""),
+SELECT url, 2 * coalesce(n, 0) AS n_raw, coalesce(links, '') AS links FROM raw
+LEFT JOIN (SELECT url, count(*) AS n FROM hrefs GROUP BY url) USING (url) LEFT JOIN link_lists USING (url)"""),
     "links_json": _with(PARSED, """
 SELECT url, coalesce(to_json(link_list)::VARCHAR, '[]') AS links_json, coalesce(n_links, 0)::BIGINT AS n_links
 FROM parsed LEFT JOIN link_lists USING (url)"""),
@@ -158,7 +157,8 @@ SELECT url,
 FROM parsed LEFT JOIN link_lists USING (url)"""),
     "truncate_body": r"""
 WITH bodies AS (
-  SELECT doc_id, repeat(regexp_replace(text, '[^ -~]', '?', 'g'), 12) AS body FROM documents),
+  SELECT doc_id, repeat(regexp_replace(text, '[^ -~]', '?', 'g'), CASE WHEN doc_id % 10 = 0 THEN 500 ELSE 2 END)
+    AS body FROM documents),
 cut AS (
   SELECT doc_id, CASE WHEN length(body) > 1000000
     THEN left(body, 1000000) || chr(10) || '[truncated after 1000000 bytes]' ELSE body END AS text FROM bodies)
@@ -166,10 +166,14 @@ SELECT 'http://site.test/doc/' || doc_id AS url, length(text) AS n_chars, md5(te
   '/doc/' || doc_id AS title FROM cut""",
     "error_classes": f"""
 SELECT {SITE}order/' || o_orderkey AS url,
-  CASE o_orderstatus WHEN 'F' THEN 404 WHEN 'P' THEN 0 ELSE 200 END AS status_code,
-  CASE o_orderstatus WHEN 'F' THEN 'HTTP 404' WHEN 'P' THEN 'URL error: timed out' END AS error,
-  CASE o_orderstatus WHEN 'O' THEN o_orderpriority ELSE '' END AS text
+  [200, 404, 503, 302, 0, 0][o_orderkey % 6 + 1] AS status_code,
+  [NULL, 'HTTP 404', 'HTTP 503', 'HTTP 302', 'URL error: timed out',
+   'unexpected error: no memory'][o_orderkey % 6 + 1] AS error,
+  CASE o_orderkey % 6 WHEN 0 THEN o_orderpriority ELSE '' END AS text
 FROM orders""",
+    "decode_bodies": r"""
+SELECT 'http://site.test/doc/' || doc_id AS url, md5(regexp_replace(text, '[^\x00-\xff]', '?', 'g')) AS text_md5,
+  NULL::VARCHAR AS error FROM documents""",
     "tokenize_docs": f"""
 SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '{TOKENS}'), ' ') AS tokens FROM documents""",
     "term_frequency": f"""
@@ -199,13 +203,18 @@ FROM hrefs JOIN raw USING (url),
   (VALUES ('rooted'), ('other_host'), ('dots'), ('query'), ('fragment')) k(kind)"""),
     "seed_validation": """
 SELECT c_custkey::VARCHAR AS job_id,
-  CASE WHEN c_mktsegment <> 'BUILDING' THEN 'http://site.test/c/' || c_custkey END AS origin_url,
-  c_nationkey - 3 AS max_depth,
-  CASE WHEN c_mktsegment = 'BUILDING' THEN 'origin must be a valid http or https URL'
-    WHEN c_nationkey < 3 THEN 'max_depth must be >= 0'
-    WHEN c_nationkey < 1 THEN 'queue_capacity must be >= 1'
-    WHEN c_acctbal <= 0 THEN 'rate_limit must be > 0' END AS reject_reason
+  CASE WHEN c_custkey % 9 <> 0 THEN 'http://site.test/c/' || c_custkey END AS origin_url,
+  c_custkey % 5 - 1 AS max_depth,
+  CASE WHEN c_custkey % 9 = 0 THEN 'origin must be a valid http or https URL'
+    WHEN c_custkey % 11 = 0 THEN 'worker_count must be a number'
+    WHEN c_custkey % 5 = 0 THEN 'max_depth must be >= 0'
+    WHEN c_custkey % 7 = 0 THEN 'queue_capacity must be >= 1'
+    WHEN c_acctbal <= 0 THEN 'rate_limit must be > 0'
+    WHEN c_custkey % 4 = 0 THEN 'worker_count must be >= 1' END AS reject_reason
 FROM customer""",
+    "seed_duplicates": f"""
+SELECT {SITE}nation/' || c_nationkey AS origin_url, count(*) AS n_jobs, c_nationkey % 3 AS max_depth
+FROM customer GROUP BY c_nationkey""",
     "bfs_depths": f"""
 WITH RECURSIVE edges AS (
   SELECT {SITE}region/' || n_regionkey AS src, {SITE}nation/' || n_nationkey AS dst FROM nation
@@ -218,12 +227,12 @@ WITH RECURSIVE edges AS (
 ) SELECT job_id, origin_url, url, min(depth) AS depth FROM walk GROUP BY ALL""",
     "bfs_multi_seed": f"""
 WITH RECURSIVE pairs AS (
-  SELECT DISTINCT {SITE}supplier/' || l_suppkey AS a, {SITE}part/' || l_partkey AS b FROM lineitem
+  SELECT {SITE}customer/' || o_custkey AS a, {SITE}order/' || o_orderkey AS b FROM orders
 ), edges AS (SELECT a AS src, b AS dst FROM pairs UNION ALL SELECT b, a FROM pairs
 ), walk AS (
-  SELECT 's' || s_suppkey AS job_id, {SITE}supplier/' || s_suppkey AS origin_url,
-    CASE WHEN s_acctbal < 0 THEN 1 ELSE 2 END AS k, {SITE}supplier/' || s_suppkey AS url, 0 AS depth
-  FROM supplier
+  SELECT 'c' || c_custkey AS job_id, {SITE}customer/' || c_custkey AS origin_url,
+    CASE WHEN c_acctbal < 0 THEN 1 ELSE 3 END AS k, {SITE}customer/' || c_custkey AS url, 0 AS depth
+  FROM customer
   UNION SELECT job_id, origin_url, k, dst, depth + 1 FROM walk JOIN edges ON src = url WHERE depth < k
 ) SELECT job_id, origin_url, url, min(depth) AS depth FROM walk GROUP BY job_id, origin_url, url""",
     "dead_links": _with(PAGE_CRAWL, """
@@ -265,6 +274,9 @@ SELECT query_id, sort_by, json_object('url', relevant_url, 'relevant_url', relev
   'relevance_score', CASE WHEN sort_by = 'relevance' THEN score END, 'score', score,
   'title', title)::VARCHAR AS result
 FROM (SELECT *, 'default' AS sort_by FROM plain UNION ALL SELECT *, 'relevance' FROM exact)"""),
+    "search_plain_json": _with(SEARCH, """
+SELECT query_id, json_object('url', relevant_url, 'relevant_url', relevant_url, 'origin_url', origin_url,
+  'depth', depth, 'frequency', frequency, 'score', score, 'title', title)::VARCHAR AS result FROM plain"""),
     "search_stored_index": _with(SEARCH, "SELECT * FROM plain"),
     "page_upsert": _with(RAW, """
 SELECT 'http://' || regexp_extract(url, '^https?://([^/:?#]*)', 1) || '/' AS url, url AS title, page_id,
@@ -288,7 +300,8 @@ SELECT o_orderkey::VARCHAR AS job_id, {SITE}customer/' || o_custkey AS origin_ur
   row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey::VARCHAR) AS position FROM orders""",
     "discoveries_with_origin": f"""
 SELECT l_orderkey::VARCHAR AS job_id, {SITE}part/' || l_partkey AS url, l_linenumber AS depth,
-  {SITE}customer/' || o_custkey AS origin_url FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
+  {SITE}customer/' || o_custkey AS origin_url FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+WHERE o_orderstatus <> 'P'""",
     "status_rollup": _with(OUTCOMES, f"""
 SELECT * FROM (
   SELECT bool_or(o_orderstatus = 'O') AS indexing_active,
@@ -318,15 +331,35 @@ SELECT job_id, last_at, last_at > present - INTERVAL 2 SECONDS AS active FROM (
     max(ts) AS present FROM events GROUP BY user_id) WHERE last_at IS NOT NULL""",
     "recent_logs": """
 SELECT id, job_id, logged_at, message, row_number() OVER (PARTITION BY job_id ORDER BY id) AS line FROM (
-  SELECT event_id AS id, user_id::VARCHAR AS job_id, ts AS logged_at, event_type AS message FROM events
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 100)""",
+  SELECT event_id AS id, event_type AS job_id, ts AS logged_at, event_type AS message FROM events
+  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 100)""",
+    "recent_logs_long": """
+SELECT id, job_id, logged_at, message, row_number() OVER (PARTITION BY job_id ORDER BY id) AS line FROM (
+  SELECT event_id AS id, event_type AS job_id, ts AS logged_at, event_type AS message FROM events
+  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) <= 1500)""",
+    "log_append": """
+SELECT user_id::VARCHAR AS job_id, count(*) AS n_lines, max(event_id) AS last_id,
+  count_if(event_type = 'error')::BIGINT AS n_errors FROM events GROUP BY ALL""",
+    "job_lookup": f"""
+SELECT o_orderkey::VARCHAR AS job_id, {SITE}customer/' || o_custkey AS origin_url,
+  CASE WHEN o_orderstatus <> 'F' THEN {ORDER_STATUS} ELSE 'stored' END AS status FROM orders WHERE o_orderkey = 1""",
     "job_status_latest": """
 SELECT user_id::VARCHAR AS job_id, coalesce(
   arg_min(status, (ts, event_id)) FILTER (status IN ('completed', 'interrupted')),
   arg_max(status, (ts, event_id))) AS status
 FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'created' WHEN 'purchase' THEN 'completed'
   WHEN 'error' THEN 'interrupted' ELSE 'running' END AS status FROM events) GROUP BY user_id""",
-    "stream_postings": _with(PARSED + "," + _postings("parsed"), "SELECT * FROM postings"),
+    "stream_postings": _with(PARSED + "," + _postings("answered"), "SELECT * FROM postings"),
+    "store_compact_then_stream": _with(PARSED + "," + _postings("answered"), "SELECT * FROM postings"),
+    "store_late_job": _with(ENTRIES, """
+SELECT * FROM entries WHERE url IN (SELECT url FROM answered)"""),
+    "store_recover_then_stream": _with(ENTRIES, """
+SELECT DISTINCT job_id, 'interrupted' AS status, coalesce(n, 0) AS n_entries FROM discoveries
+LEFT JOIN (SELECT origin_url, count(*) AS n FROM entries WHERE url IN (SELECT url FROM answered) GROUP BY ALL)
+  USING (origin_url) WHERE job_id LIKE '%#1'"""),
+    "job_run": _with(PAGE_CRAWL, """
+SELECT job_id, 'completed' AS status, count(*) AS pages_discovered,
+  count(good)::BIGINT AS pages_indexed FROM found LEFT JOIN outcomes USING (url) GROUP BY job_id"""),
     "stream_event_counters": """
 SELECT user_id::VARCHAR AS job_id, event_type AS message, count(*) AS events FROM events GROUP BY ALL""",
 }

@@ -31,7 +31,7 @@ PAGES = _schema(
     "fetched_at timestamp, status_code int, error string"
 )
 
-# One row per crawl job; `job_id` is the key.
+# One row per crawl job; `job_id` is the key. Names and order of the columns.
 JOBS = _schema(
     "job_id string, origin_url string, max_depth int, rate_limit double, "
     "queue_capacity int, worker_count int, status string, "

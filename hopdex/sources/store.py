@@ -1,22 +1,27 @@
-"""The index store: keyed tables kept as parquet batches.
-
-Every batch of a table is a folder `<table>/batch_id=N` (postings and word
-entries below it by `letter=`). A batch reads only earlier batches and overwrites
-only its own folder, so running it twice gives the same table. Readers see the
-batches listed in the commit log, so a half-written batch is invisible; of the
-rows with one key, the newest batch counts.
+"""The index store: keyed tables kept as parquet writes, and a log of commits.
+
+A write is a folder `<table>/write=<id>` (postings and word entries below it by
+`letter=`) under a name that no other write has. A commit is one small file,
+`commits/<version>.json`, that lists the writes that make up every table from then on.
+It is put in place by a rename that fails if the version exists, so of two writers one
+wins and the other starts again from the newer state. Readers see the last commit: a
+half-made write is invisible, and nothing committed is ever written over.
 """
 
-from pyspark.errors import AnalysisException
+import json
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hopdex.operators.index import with_letter
-from hopdex.operators.joins import newest_wide
 from hopdex.schemas import (
     DISCOVERIES, JOB_LOGS, JOBS, PAGES, POSTINGS, WORD_ENTRIES, WORD_ENTRY_KEY,
 )
+from hopdex.session import stage
 
 # table -> (schema, key, word column of tables with letter folders)
 TABLES = {
@@ -27,13 +32,26 @@ TABLES = {
     "postings": (POSTINGS, ["term", "url"], "term"),
     "word_entries": (WORD_ENTRIES, WORD_ENTRY_KEY, "word"),
 }
-_COMMIT = T.StructType(
-    [
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("table", T.StringType()),
-        T.StructField("complete", T.BooleanType()),
-    ]
-)
+
+
+@dataclass
+class State:
+    """What one commit lists.
+
+    tables: per table its writes, oldest first, each [id, fresh]; a fresh write has
+    no key that an earlier one has. streams: per stream the last batch that is in.
+    """
+
+    version: int = -1
+    tables: dict[str, list] = field(default_factory=dict)
+    streams: dict[str, int] = field(default_factory=dict)
+
+    def writes(self, table: str) -> list:
+        return self.tables.get(table, [])
+
+
+class Conflict(Exception):
+    """Another writer has committed since the state was read."""
 
 
 class IndexStore:
@@ -43,81 +61,144 @@ class IndexStore:
 
     # -- commit log ----------------------------------------------------------
 
-    def commits(self) -> list:
-        """(batch_id, table, complete) of all committed writes: a few rows per batch."""
+    def _files(self):
+        """The file context and the log folder, in whatever file system the store lives."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(f"{self.root}/commits")
+        context = hadoop.FileContext.getFileContext(
+            folder.toUri(), self.spark._jsc.hadoopConfiguration()
+        ) if folder.toUri().getScheme() else hadoop.FileContext.getFileContext(
+            self.spark._jsc.hadoopConfiguration())
+        return hadoop, context, folder
+
+    def state(self) -> State:
+        """The last commit. One listing and one small read, whatever the store holds."""
+        hadoop, context, folder = self._files()
+        if not context.util().exists(folder):
+            return State()
+        names = [f.getPath().getName() for f in context.util().listStatus(folder)]
+        last = max((n for n in names if n.endswith(".json") and n[0] != "."), default=None)
+        if last is None:
+            return State()
+        text = self.spark.read.text(f"{self.root}/commits/{last}", wholetext=True).first().value
+        return State(**json.loads(text))
+
+    def _put(self, state: State) -> None:
+        hadoop, context, folder = self._files()
+        jvm = self.spark._jvm
+        context.mkdir(folder, jvm.org.apache.hadoop.fs.permission.FsPermission.getDirDefault(), True)
+        draft = hadoop.Path(folder, f".{uuid.uuid4().hex}.draft")
+        out = draft.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(draft, False)
+        out.write(bytearray(json.dumps(state.__dict__).encode()))
+        out.close()
+        none = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
         try:
-            log = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/*")
-        except AnalysisException:  # nothing committed so far
-            return []
-        return log.orderBy("batch_id").collect()
+            context.rename(draft, hadoop.Path(folder, f"{state.version:015d}.json"), none)
+        except Exception as error:  # the version exists: the other writer was first
+            context.delete(draft, False)
+            if "FileAlreadyExistsException" in str(error):
+                raise Conflict(f"version {state.version} exists") from error
+            raise
+
+    def commit(self, seen: State, added: dict[str, list], replaced: tuple[str, ...] = (),
+               stream: tuple[str, int] | None = None) -> None:
+        """Make writes visible on top of `seen`.
+
+        Tables in `replaced` lose the writes that `seen` lists. Raises Conflict if
+        another commit has come since; then the work starts from the new state.
+        """
+        tables = {t: [] if t in replaced else list(w) for t, w in seen.tables.items()}
+        for table, writes in added.items():
+            tables[table] = tables.get(table, []) + writes
+        streams = seen.streams | ({stream[0]: stream[1]} if stream else {})
+        self._put(State(seen.version + 1, tables, streams))
 
-    def commit(self, batch_id: int, tables: list[str], complete: bool = False) -> None:
-        rows = [(batch_id, table, complete) for table in tables]
-        log = self.spark.createDataFrame(rows, _COMMIT).coalesce(1)
-        kind = "full" if complete else "part"
-        log.write.mode("overwrite").parquet(f"{self.root}/commits/{kind}-{batch_id}")
+    def update(self, work: Callable[[State], dict | None]) -> None:
+        """Run `work(state)`, which writes and returns the arguments of its commit.
 
-    def last_batch(self) -> int:
-        return max((c.batch_id for c in self.commits()), default=-1)
+        It runs again from the newer state if another writer comes first, so its
+        commit always rests on the state it has read.
+        """
+        while True:
+            seen = self.state()
+            made = work(seen)
+            if made is None:
+                return
+            try:
+                self.commit(seen, **made)
+                return
+            except Conflict:
+                continue
 
     # -- writing -------------------------------------------------------------
 
-    def write(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Write one batch of a table. Not visible before `commit`."""
+    def write(self, table: str, rows: DataFrame, seen: State, fresh: bool = False) -> list:
+        """Write rows of a table; visible when the returned entry is committed on `seen`."""
         schema, key, word = TABLES[table]
+        name = f"{seen.version + 1:015d}-{uuid.uuid4().hex}"  # sorts in the order of commits
         rows = rows.select(*schema.names)
-        where = f"{self.root}/{table}/batch_id={batch_id}"
+        where = f"{self.root}/{table}/write={name}"
         if word is None:
-            rows.write.mode("overwrite").parquet(where)
-            return
-        # Ranges over the whole key: files hold few distinct words, which lets
-        # min/max statistics skip them, and a frequent word fills several files.
-        ordered = with_letter(rows, word).repartitionByRange(*key).sortWithinPartitions(*key)
-        ordered.write.mode("overwrite").partitionBy("letter").parquet(where)
-
-    def replace(self, table: str, rows: DataFrame, batch_id: int) -> None:
-        """Write the whole table anew; earlier batches stop counting."""
-        self.write(table, rows, batch_id)
-        self.commit(batch_id, [table], complete=True)
+            rows.write.parquet(where)
+        else:
+            # Ranges over the whole key: files hold few distinct words, which lets
+            # min/max statistics skip them, and a frequent word fills several files.
+            # Ranging samples its input, so that is written first.
+            rows = stage(with_letter(rows, word), table)
+            ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+            ordered.write.partitionBy("letter").parquet(where)
+        return [name, fresh]
+
+    def add(self, **rows: DataFrame) -> None:
+        """Write and commit rows of some tables; of one key the newest write counts."""
+        self.update(lambda seen: {
+            "added": {t: [self.write(t, df, seen)] for t, df in rows.items()}
+        })
+
+    def replace(self, table: str, rows: DataFrame) -> None:
+        """Write the whole table anew; the writes it had stop counting."""
+        self.update(lambda seen: {
+            "added": {table: [self.write(table, rows, seen, fresh=True)]}, "replaced": (table,)
+        })
 
     def compact(self, table: str) -> None:
-        self.replace(table, self.read(table), self.last_batch() + 1)
+        """Write the current rows as one write in place of those that hold them."""
+        self.update(lambda seen: {
+            "added": {table: [self.write(table, self.read(table, seen), seen, fresh=True)]},
+            "replaced": (table,),
+        } if len(seen.writes(table)) > 1 else None)
 
     # -- reading -------------------------------------------------------------
 
-    def read(self, table: str, before: int | None = None) -> DataFrame:
-        """Current rows of a table, or those of the batches below `before`.
+    def read(self, table: str, seen: State | None = None) -> DataFrame:
+        """Current rows of a table, or those of a state.
 
         Postings and word entries keep their `letter` column, by which a search
-        prunes folders.
+        prunes folders. Writes that are fresh are read side by side; only where
+        keys can repeat is the newest row of a key looked for.
         """
+        writes = (seen or self.state()).writes(table)
+        return self.read_writes(table, [w[0] for w in writes], all(w[1] for w in writes[1:]))
+
+    def read_writes(self, table: str, names: list[str], distinct: bool = True) -> DataFrame:
         schema, key, word = TABLES[table]
-        ids = []
-        for c in self.commits():
-            if c.table == table and (before is None or c.batch_id < before):
-                ids = [c.batch_id] if c.complete else ids + [c.batch_id]
         stored = T.StructType(
             schema.fields
             + ([T.StructField("letter", T.StringType())] if word else [])
-            + [T.StructField("batch_id", T.LongType())]
+            + [T.StructField("write", T.StringType())]
         )
-        if not ids:
-            return self.spark.createDataFrame([], stored).drop("batch_id")
-        paths = [f"{self.root}/{table}/batch_id={i}" for i in sorted(set(ids))]
+        if not names:
+            return self.spark.createDataFrame([], stored).drop("write")
         rows = (
             self.spark.read.schema(stored)
             .option("basePath", f"{self.root}/{table}")
-            .parquet(*paths)
+            .parquet(*[f"{self.root}/{table}/write={n}" for n in names])
         )
-        if key is None or len(paths) == 1:
-            return rows.drop("batch_id")
-        if table == "pages":
-            return newest_wide(rows, "url", "batch_id").drop("batch_id")
-        values = [c for c in stored.names if c not in key + ["letter", "batch_id"]]
+        if key is None or distinct:
+            return rows.drop("write")
+        values = [c for c in stored.names if c not in key + ["letter", "write"]]
         keys = key + (["letter"] if word else [])
-        last = F.max_by(F.struct(*values), "batch_id").alias("_last")
+        last = F.max_by(F.struct(*values), "write").alias("_last")
         return rows.groupBy(*keys).agg(last).select(*keys, "_last.*").select(
-            *[c for c in stored.names if c != "batch_id"]
+            *[c for c in stored.names if c != "write"]
         )
-
-

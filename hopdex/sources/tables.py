@@ -34,15 +34,27 @@ def read_body_files(spark: SparkSession, path: str, site: str, media: str) -> Da
     )
 
 
+def stream_of_table(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
+    """The files of a given table as a stream, be the table one file or a folder of them."""
+    path = f"{folder}/{name}.parquet"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    reader = spark.readStream.schema(schema)
+    if system.getFileStatus(where).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 def pages_with_json_links(pages: DataFrame) -> DataFrame:
     """Page rows for stores that keep the link list as JSON text."""
     return pages.withColumn("links_json", F.to_json("links")).drop("links")
 
 
-def pages_from_json_links(rows: DataFrame) -> DataFrame:
+def pages_from_json_links(rows: DataFrame, keep_json: bool = False) -> DataFrame:
     """The reverse of `pages_with_json_links`, in page column order."""
     links = F.from_json("links_json", "array<string>")
-    return rows.withColumn("links", links).select(*PAGES.names)
+    kept = ["links_json"] if keep_json else []
+    return rows.withColumn("links", links).select(*PAGES.names, *kept)
 
 
 def with_origin(discoveries: DataFrame, jobs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hopdex.functions.text import let, letter_of, plain_spaces
 from hopdex.operators.index import dedup_entries
 from hopdex.schemas import WORD_ENTRIES
+from hopdex.session import stage
 
 _INT = r"^[+-]?[0-9]+$"
 
@@ -50,7 +51,8 @@ def write_lines(entries: DataFrame, path: str) -> None:
     Rows are range-partitioned by the whole sort key, so a frequent letter or
     word is spread over several files instead of one writer.
     """
-    keyed = entries.repartitionByRange("word", "url", "origin_url", "depth")
+    # Ranging samples its input, which is therefore written first.
+    keyed = stage(entries, "entries").repartitionByRange("word", "url", "origin_url", "depth")
     keyed = keyed.sortWithinPartitions("word", "url", "origin_url", "depth")
     to_lines(keyed).write.mode("overwrite").partitionBy("letter").text(path)
 

@@ -1,14 +1,20 @@
 """Incremental indexing with Structured Streaming."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hopdex.functions.urls import normalize_url
+from hopdex.operators.crawl import accepted, check_seeds, crawl
 from hopdex.operators.extract import parse_responses
 from hopdex.operators.index import build_postings, build_word_entries, changed_entries
 from hopdex.operators.joins import drop_known, match_join, newest, only_keys
+from hopdex.operators.status import page_counters
 from hopdex.operators.upsert import mark_interrupted
 from hopdex.schemas import RESPONSES
+from hopdex.session import stage
 from hopdex.sources.store import IndexStore
 from hopdex.sources.tables import with_origin
 
@@ -16,72 +22,91 @@ from hopdex.sources.tables import with_origin
 def read_response_stream(
     spark: SparkSession, path: str, max_files: int = 1000, max_bytes: str | None = None
 ) -> DataFrame:
-    """Response files as they arrive; the limits bound what one batch takes in."""
-    reader = spark.readStream.schema(RESPONSES).option("maxFilesPerTrigger", max_files)
-    if max_bytes:
-        reader = spark.readStream.schema(RESPONSES).option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+    """Response files as they arrive; a batch takes in `max_files`, or `max_bytes` if given."""
+    limit = ("maxBytesPerTrigger", max_bytes) if max_bytes else ("maxFilesPerTrigger", max_files)
+    return spark.readStream.schema(RESPONSES).option(*limit).parquet(path)
 
 
 def one_per_url(offered: DataFrame) -> DataFrame:
-    """One response per URL. Only the rows of repeated URLs are shuffled.
+    """One response per canonical URL. Only the rows of repeated URLs are shuffled.
 
-    The choice among repeats is by content, so a replay picks the same.
+    A good answer is taken before a failure; the rest of the choice is by the whole
+    content, headers included, so a replay picks the same. URLs that have no
+    canonical form are dropped.
     """
+    columns = offered.columns
+    offered = offered.withColumn("url", normalize_url(F.col("url"))).filter("url IS NOT NULL")
     repeated = offered.groupBy("url").agg(F.count("*").alias("_n")).filter("_n > 1").select("url")
+    repeated = stage(repeated, "repeated")
     single = drop_known(offered, repeated, ["url"])
     numbered = offered.withColumn("_row", F.monotonically_increasing_id())
-    copies = match_join(numbered, repeated, ["url"], ["_row"]).select(*offered.columns)
-    content = F.xxhash64("status", "error", "body")
-    return single.unionByName(newest(copies, ["url"], [content, "body"]))
+    copies = match_join(numbered, repeated, ["url"], ["_row"]).select(*columns)
+    good = F.col("error").isNull() & F.coalesce(F.col("status").between(200, 299), F.lit(False))
+    headers = F.to_json(F.sort_array(F.map_entries("headers")))
+    chosen = newest(copies, ["url"], [good, F.col("status"), F.col("error"), F.col("body"), headers])
+    return single.unionByName(chosen)
 
 
-def index_responses(store: IndexStore, offered: DataFrame, batch_id: int) -> None:
-    """Add a batch of responses: pages, postings and word entries in one commit.
+def index_responses(store: IndexStore, offered: DataFrame, stream: tuple[str, int] | None = None) -> None:
+    """Add responses: pages, postings and word entries in one commit.
 
-    A URL that has a page already is dropped before it is parsed.
+    A URL that has a page already is dropped before it is parsed. `stream` names the
+    stream and its batch number; a batch that is in the store already is left out.
     """
-    unknown = drop_known(one_per_url(offered), store.read("pages", before=batch_id), ["url"])
-    store.write("pages", parse_responses(unknown.select(*offered.columns)), batch_id)
-    fresh = _own(store, "pages", batch_id)
-    store.write("postings", build_postings(fresh), batch_id)
-    # Only what the batch touches is read from the other tables. Its URLs are new,
-    # so the store cannot hold entries of theirs.
-    known = only_keys(store.read("discoveries", before=batch_id), fresh, ["url"])
-    store.write("word_entries", build_word_entries(fresh, with_origin(known, store.read("jobs"))), batch_id)
-    store.commit(batch_id, ["pages", "postings", "word_entries"])
-
-
-def record_discoveries(store: IndexStore, jobs: DataFrame, found: DataFrame, batch_id: int) -> None:
+    offered = stage(one_per_url(offered), "offered")
+
+    def work(seen):
+        if stream and seen.streams.get(stream[0], -1) >= stream[1]:
+            return None
+        unknown = drop_known(offered, store.read("pages", seen), ["url"])
+        pages = store.write("pages", parse_responses(unknown), seen, fresh=True)
+        fresh = store.read_writes("pages", [pages[0]])
+        postings = store.write("postings", build_postings(fresh), seen, fresh=True)
+        # Only what the batch touches is read from the other tables. Its URLs are
+        # new, so the store cannot hold entries of theirs.
+        known = only_keys(store.read("discoveries", seen), fresh, ["url"])
+        entries = build_word_entries(fresh, with_origin(known, store.read("jobs", seen)))
+        entries = store.write("word_entries", entries, seen, fresh=True)
+        return {
+            "added": {"pages": [pages], "postings": [postings], "word_entries": [entries]},
+            "stream": stream,
+        }
+
+    store.update(work)
+
+
+def record_discoveries(store: IndexStore, jobs: DataFrame, found: DataFrame) -> None:
     """Add jobs and their discoveries; pages fetched before count for them at once."""
-    store.write("jobs", jobs, batch_id)
-    store.write("discoveries", found, batch_id)
-    fresh = with_origin(_own(store, "discoveries", batch_id), _own(store, "jobs", batch_id))
-    entries = build_word_entries(store.read("pages", before=batch_id), fresh)
-    stored = only_keys(store.read("word_entries", before=batch_id), fresh, ["url"])
-    store.write("word_entries", changed_entries(entries, stored), batch_id)
-    store.commit(batch_id, ["jobs", "discoveries", "word_entries"])
+    def work(seen):
+        job_write = store.write("jobs", jobs, seen)
+        found_write = store.write("discoveries", found, seen)
+        fresh = with_origin(
+            store.read_writes("discoveries", [found_write[0]]), store.read_writes("jobs", [job_write[0]]))
+        fresh = stage(fresh, "fresh")
+        pages = only_keys(store.read("pages", seen), fresh, ["url"])
+        entries = build_word_entries(pages, fresh)
+        stored = only_keys(store.read("word_entries", seen), fresh, ["url"])
+        # A page is fetched once, so an entry is there as it is or not at all.
+        entry_write = store.write("word_entries", changed_entries(entries, stored), seen, fresh=True)
+        return {"added": {"jobs": [job_write], "discoveries": [found_write], "word_entries": [entry_write]}}
+
+    store.update(work)
 
 
-def _own(store: IndexStore, table: str, batch_id: int) -> DataFrame:
-    """The rows this batch has just written."""
-    return store.spark.read.parquet(f"{store.root}/{table}/batch_id={batch_id}")
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps with a checkpoint; a new checkpoint is a new stream."""
+    text = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first().value
+    return json.loads(text)["id"]
 
 
-def index_stream(
-    responses: DataFrame, store: IndexStore, checkpoint: str, first_batch: int = 0
-) -> StreamingQuery:
+def index_stream(responses: DataFrame, store: IndexStore, checkpoint: str) -> StreamingQuery:
     """Index everything that is available now and stop.
 
-    Store batches are numbered from `first_batch`. A batch that is run again after
-    a failure overwrites itself.
+    A batch that is run again after a failure, or after a restart from the same
+    checkpoint, is known by its stream and number and changes nothing.
     """
     def run(batch: DataFrame, batch_number: int) -> None:
-        batch.persist()  # read several times; recomputed from its files if lost
-        try:
-            index_responses(store, batch, first_batch + batch_number)
-        finally:
-            batch.unpersist()
+        index_responses(store, batch, (stream_name(store.spark, checkpoint), batch_number))
 
     return (
         responses.writeStream.foreachBatch(run)
@@ -105,9 +130,41 @@ def counter_stream(events: DataFrame, sink, checkpoint: str) -> StreamingQuery:
 
 def recover(store: IndexStore) -> None:
     """After a stop: the tables are as committed; jobs left open become interrupted."""
-    jobs = store.read("jobs").filter(F.col("status").isin("created", "running"))
-    if jobs.isEmpty():
-        return
-    batch_id = store.last_batch() + 1
-    store.write("jobs", mark_interrupted(jobs), batch_id)
-    store.commit(batch_id, ["jobs"])
+    def work(seen):
+        jobs = store.read("jobs", seen).filter(F.col("status").isin("created", "running"))
+        if jobs.isEmpty():
+            return None
+        return {"added": {"jobs": [store.write("jobs", mark_interrupted(jobs), seen)]}}
+
+    store.update(work)
+
+
+def run_jobs(store: IndexStore, seeds: DataFrame) -> DataFrame:
+    """Run crawl jobs over the pages in the store, to their end.
+
+    The checked seeds become running jobs; their discoveries and word entries go
+    into the store; then the jobs are completed and keep their counters. Returns the
+    refused seeds with their reasons.
+    """
+    checked = stage(check_seeds(seeds), "seeds")
+    accepted_seeds = stage(accepted(checked), "accepted")
+    now = F.current_timestamp()
+    zero = F.lit(0).cast("bigint")
+    jobs = accepted_seeds.select(
+        "job_id", "origin_url", "max_depth", "rate_limit", "queue_capacity", "worker_count",
+        F.lit("running").alias("status"), now.alias("created_at"), now.alias("updated_at"),
+        *[zero.alias(c) for c in ("pages_discovered", "pages_indexed", "queue_backpressure_count",
+                                  "rate_backpressure_count")],
+    )
+    jobs = stage(jobs, "jobs")
+    pages = store.read("pages")
+    found = stage(crawl(accepted_seeds, pages), "found")
+    record_discoveries(store, jobs, found.select("job_id", "url", "depth"))
+    counters = page_counters(found, pages).select("job_id", "pages_discovered", "pages_indexed")
+    ended = jobs.drop("pages_discovered", "pages_indexed").join(counters, "job_id", "left").withColumns({
+        "status": F.lit("completed"), "updated_at": F.current_timestamp(),
+        "pages_discovered": F.coalesce("pages_discovered", zero),
+        "pages_indexed": F.coalesce("pages_indexed", zero),
+    })
+    store.add(jobs=ended)
+    return checked.filter("reject_reason IS NOT NULL")

@@ -11,6 +11,7 @@ from hopdex.schemas import PAGES, RESPONSES
 from hopdex.sources.tables import pages_from_json_links, pages_with_json_links, read_body_files
 
 BASE = "http://a.test/d/e"
+LONG = 3_000_000
 SNIPPETS = [
     ("a<br>b<b>c</b>d", "", "a b c d", []),
     ("<noscript><a href=\"/n\">q</a></noscript>", "", "", ["http://a.test/n"]),
@@ -65,7 +66,8 @@ def test_bodies_and_errors(spark):
         ok("none", b"<b>raw</b>", None),
         ok("odd", b"<b>raw</b>", "html"),
         ok("empty", None),
-        ok("long", b"w" * 1_000_005),
+        ok("long", b"w" * LONG),
+        ok("longzip", gzip.compress(b"v" * LONG), encoding="gzip"),
         ("http://a.test/p/gone", 404, {}, b"x", None),
         ("http://a.test/p/moved", 304, {}, b"", None),
         ("http://a.test/p/dns", 0, None, None, "no such host"),
@@ -82,7 +84,10 @@ def test_bodies_and_errors(spark):
     assert got["cutzip"].error.startswith("unexpected error: ") and got["cutzip"].status_code == 0
     assert got["none"].text == got["odd"].text == "<b>raw</b>" and got["none"].links == []
     assert got["empty"].text == "" and got["empty"].error is None
-    assert got["long"].text == "w" * 1_000_000 + CUT_NOTE
+    # Whole bodies count, packed ones too; a cut is asked for.
+    assert got["long"].text == "w" * LONG and got["longzip"].text == "v" * LONG
+    df = spark.createDataFrame([ok("long", b"w" * LONG)], RESPONSES)
+    assert parse_responses(df, max_body_bytes=100).first().text == "w" * 100 + CUT_NOTE.format(100)
     assert (got["gone"].status_code, got["gone"].error) == (404, "HTTP 404")
     assert (got["moved"].status_code, got["moved"].error) == (304, "HTTP 304")
     assert (got["dns"].status_code, got["dns"].error) == (0, "URL error: no such host")

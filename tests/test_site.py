@@ -13,6 +13,7 @@ from hopdex.schemas import RESPONSES
 from hopdex.session import stage
 
 SITE = "http://site.test"
+# Words, titles and links of the three pages that the expected scores rest on.
 HTML = {
     "/": "<html><head><title>Alpha Root</title></head><body>alpha alpha beta <a href='/docs'>docs</a></body></html>",
     "/docs": "<title>Beta Docs</title><p>beta beta beta gamma <a href=\"/deep#x\">deep</a> <a href='/deep'></a>",
@@ -140,7 +141,7 @@ def test_stored_index_is_pruned_by_the_query(spark, pages, tmp_path):
     from hopdex.sources.store import IndexStore
 
     store = IndexStore(spark, str(tmp_path))
-    store.replace("postings", build_postings(pages), 0)
+    store.replace("postings", build_postings(pages))
     matches = _matches(store.read("postings"), query_terms(asked(spark, "beta gamma")))
     assert shown(matches, "term", "url", "frequency") == [
         ("beta", SITE + "/", 1), ("beta", SITE + "/docs", 3),

@@ -12,11 +12,12 @@ from hopdex.operators.search import search_relevance
 from hopdex.operators.upsert import upsert
 from hopdex.schemas import DISCOVERIES, JOBS, RESPONSES, WORD_ENTRIES
 from hopdex.session import stage
-from hopdex.sources.store import IndexStore
+from hopdex.sources.store import Conflict, IndexStore
 from hopdex.sources.tables import with_origin
 from hopdex.sources.word_lines import parse_lines, read_lines, to_lines, write_lines
 from hopdex.streaming.ingest import (
-    counter_stream, index_responses, index_stream, one_per_url, read_response_stream, record_discoveries, recover,
+    counter_stream, index_responses, index_stream, one_per_url, read_response_stream, record_discoveries, recover, run_jobs,
+    stream_name,
 )
 
 
@@ -90,20 +91,56 @@ def test_store_keeps_the_newest_committed_batch(spark, tmp_path):
         return sorted((r.word, r.frequency) for r in store.read("word_entries").collect())
 
     assert held() == []
-    store.write("word_entries", entries(1), 0)
+    seen = store.state()
+    first = store.write("word_entries", entries(1), seen)
     assert held() == []  # not committed
-    store.commit(0, ["word_entries"])
-    store.write("word_entries", entries(2), 1)
+    store.commit(seen, {"word_entries": [first]})
     assert held() == [("w", 1), ("x1", 1)]
-    store.commit(1, ["word_entries"])
+    store.add(word_entries=entries(2))
     assert held() == [("w", 2), ("x1", 1), ("x2", 1)]
     before = held()
     store.compact("word_entries")
-    assert held() == before and store.last_batch() == 2
-    store.replace("word_entries", entries(7), 3)
+    assert held() == before and len(store.state().writes("word_entries")) == 1
+    store.replace("word_entries", entries(7))
     assert held() == [("w", 7), ("x7", 1)]
 
 
+def test_of_two_writers_one_starts_again(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path))
+
+    def entries(word):
+        return spark.createDataFrame([(word, "u", "o", 0, 1)], WORD_ENTRIES)
+
+    store.add(word_entries=entries("a"))
+    seen = store.state()
+    late = store.write("word_entries", entries("b"), seen)
+    store.compact("word_entries")  # one write: nothing to do
+    store.add(word_entries=entries("c"))  # the other writer is first
+    with pytest.raises(Conflict):
+        store.commit(seen, {"word_entries": [late]})
+    assert {r.word for r in store.read("word_entries").collect()} == {"a", "c"}
+    turns = []
+
+    def work(state):
+        turns.append(state.version)
+        write = store.write("word_entries", entries("d"), state)
+        if len(turns) == 1:
+            store.add(word_entries=entries("e"))
+        return {"added": {"word_entries": [write]}}
+
+    store.update(work)
+    assert len(turns) == 2 and turns[1] == turns[0] + 1
+    assert {r.word for r in store.read("word_entries").collect()} == {"a", "c", "d", "e"}
+
+
+def test_fresh_writes_are_read_without_a_shuffle(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path))
+    for nth in range(5):
+        index_responses(store, responses(spark, [page(nth, f"word{nth} common")]))
+    plan = store.read("postings")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and store.read("postings").count() == 5 * 4
+
+
 @pytest.fixture(scope="module")
 def site():
     return [page(1, "alpha beta"), page(2, "beta beta 9x"), page(3, "gamma"), page(4, "delta beta")]
@@ -121,7 +158,7 @@ def test_stream_equals_batch_with_replay_and_restart(spark, tmp_path, site):
     found = spark.createDataFrame(
         [(j, u, d) for j in ("j1", "j2") for d, (u, _) in enumerate(site)], DISCOVERIES)
     some = found.filter("job_id = 'j1'")
-    record_discoveries(store, jobs(spark, "j1"), some, 0)
+    record_discoveries(store, jobs(spark, "j1"), some)
 
     def deliver(*pages):
         responses(spark, pages).coalesce(1).write.mode("append").parquet(inbox)
@@ -129,20 +166,24 @@ def test_stream_equals_batch_with_replay_and_restart(spark, tmp_path, site):
     deliver(site[0], site[0], site[1])
     deliver(site[1], site[2])  # site[1] again: offered before
     source = read_response_stream(spark, inbox, max_files=1)
-    query = index_stream(source, store, offsets, first_batch=1)
+    query = index_stream(source, store, offsets)
     query.awaitTermination()
     progress = [p for p in query.recentProgress if p["numInputRows"] > 0]
-    assert [p["numInputRows"] for p in progress] == [3, 2]
+    assert len(progress) == 2
     assert store.read("pages").count() == 3
 
-    # A replayed batch overwrites itself.
+    # A replayed batch is known by its number, and its pages by their URLs.
     before = rows(store.read("postings")), rows(store.read("word_entries"))
-    index_responses(store, responses(spark, [site[1], site[2]]), 2)
+    version = store.state().version
+    index_responses(store, responses(spark, [site[3]]), (stream_name(spark, offsets), 1))
+    assert store.state().version == version
+    index_responses(store, responses(spark, [site[1], ("HTTP://S.test:80/3", "x")]))
     assert (rows(store.read("postings")), rows(store.read("word_entries"))) == before
+    store.compact("pages")
+    store.compact("postings")
 
     # A job that asks for pages fetched before gets its entries at once.
-    batch = store.last_batch() + 1
-    record_discoveries(store, jobs(spark, "j2"), found.filter("job_id = 'j2'"), batch)
+    record_discoveries(store, jobs(spark, "j2"), found.filter("job_id = 'j2'"))
 
     # Restart: same offsets, a new store object, one more page.
     deliver(site[3])
@@ -150,7 +191,8 @@ def test_stream_equals_batch_with_replay_and_restart(spark, tmp_path, site):
     recover(again)
     assert {r.status for r in again.read("jobs").collect()} == {"interrupted"}
     later = read_response_stream(spark, inbox, max_files=1)
-    index_stream(later, again, offsets, first_batch=again.last_batch() - 1).awaitTermination()
+    index_stream(later, again, offsets).awaitTermination()
+    assert {r.status for r in again.read("jobs").collect()} == {"interrupted"}
 
     postings, entries = batch_result(spark, site, found, jobs(spark, "j1", "j2"))
     assert rows(again.read("postings").drop("letter")) == rows(postings)
@@ -179,3 +221,33 @@ def test_one_response_per_url(spark):
     first = sorted((r.url, bytes(r.body)) for r in one_per_url(offered.repartition(3)).collect())
     again = sorted((r.url, bytes(r.body)) for r in one_per_url(offered.repartition(2)).collect())
     assert [u for u, _ in first] == ["a", "b", "c"] and first == again
+
+
+def test_a_good_answer_is_taken_before_a_failure(spark):
+    html = {"Content-Type": "text/html"}
+    offered = spark.createDataFrame([
+        ("http://a.test", 200, html, b"good", None), ("HTTP://A.test/", 503, html, b"zzz", None),
+        ("http://a.test/", None, None, None, "timed out"), ("http://b.test/", 200, {"x": "1"}, b"same", None),
+        ("http://b.test/", 200, {"x": "2"}, b"same", None), ("mailto:x@y", 200, html, b"", None),
+    ], RESPONSES)
+    for parts in (1, 4):
+        chosen = {r.url: r for r in one_per_url(offered.repartition(parts)).collect()}
+        assert set(chosen) == {"http://a.test/", "http://b.test/"}
+        assert bytes(chosen["http://a.test/"].body) == b"good"
+        assert chosen["http://b.test/"].headers == {"x": "2"}
+
+
+def test_jobs_run_to_their_end(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path))
+    index_responses(store, responses(spark, [
+        ("http://s.test/", '<a href="/1">one</a> <a href="/gone">x</a>'), page(1, "alpha")]))
+    seeds = spark.createDataFrame(
+        [("http://s.test", "1", "5"), ("http://s.test", "1", "5"), ("http://s.test/1", "0", None), ("x:y", "1", None),
+         ("http://s.test", "deep", None)], "origin string, max_depth string, queue_capacity string")
+    refused = run_jobs(store, seeds)
+    assert sorted(r.reject_reason for r in refused.collect()) == [
+        "max_depth must be a number", "origin must be a valid http or https URL"]
+    found = sorted((r.origin_url, r.status, r.pages_discovered, r.pages_indexed, r.queue_capacity)
+                   for r in store.read("jobs").collect())
+    assert found == [("http://s.test/", "completed", 3, 2, 5)] * 2 + [("http://s.test/1", "completed", 1, 1, 100)]
+    assert store.read("word_entries").filter("word = 'alpha'").count() == 2
