@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hopdex.operators.joins import is_small
+from hopdex.session import stage
 
 # Bytes of text that one step of a Python task looks at together.
 SLICE_BYTES = 2 << 20
@@ -23,12 +25,24 @@ def keyed(docs: DataFrame) -> DataFrame:
 
     Rows with the same id and the same text are one document that is repeated; all
     of them get the same results. A null id sorts after all others, a null text is
-    empty. Columns but `rest` are left behind, so their names cannot clash.
+    empty. k_text is a hash of the text where an id has several texts, and 0
+    elsewhere, which is what nearly all rows have and costs next to nothing in a
+    shuffle. Columns but `rest` are left behind, so their names cannot clash.
     """
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     rest = ["rest"] if "rest" in docs.columns else []
-    return docs.select("doc_id", text, F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), *rest).withColumn(
-        "k_text", F.xxhash64("text"))
+    base = docs.select("doc_id", text, F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), *rest)
+    of_text = F.xxhash64("text")
+    several = base.groupBy("k_id").agg(F.min(of_text).alias("one"), F.max(of_text).alias("two"))
+    several = stage(several.filter("one <> two").select("k_id", F.lit(True).alias("several")), "ids")
+    if several.isEmpty():
+        # 0 for all ids there are, but not a literal: the optimizer would drop that from
+        # one side's join keys only, and equal shuffles would no longer be shared.
+        return base.withColumn("k_text", F.shiftright("k_id", 63))
+    several = F.broadcast(several) if is_small(several) else several
+    name = F.when(F.col("several"), of_text).otherwise(F.lit(0).cast("long"))
+    return base.join(several, "k_id", "left").select(
+        "doc_id", "text", "k_id", *rest, name.alias("k_text"))
 
 
 def third(doc_id: Column, parts: int) -> Column:

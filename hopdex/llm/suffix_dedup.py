@@ -26,11 +26,11 @@ from hopdex.llm.common import binary_column, keyed, mix, slices, spans, text_byt
 from hopdex.session import stage
 
 LENGTH = 100
-GRAM = 32
+GRAM = 16
 # Starts after which a region is cut, so that periodic text has bounded regions.
 REGION = 1 << 16
 # Bytes of text that one sort looks at. One name has at most HOT regions there.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 # Names with more regions go another way, which does not gather them in a task.
 HOT = 50_000
 CHUNK = 1 << 20
