@@ -5,6 +5,7 @@ import gzip
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from hopdex.functions.text import collapse_ws, letter_of, term_counts, tokenize
 from hopdex.functions.urls import host_of, normalize_url
@@ -118,7 +119,7 @@ def error_classes(spark, folder):
     return parse_responses(responses).select("url", "status_code", "error", "text")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def _gzipped(bodies: pd.Series) -> pd.Series:
     return bodies.map(lambda b: None if b is None else gzip.compress(b))
 
