@@ -132,6 +132,17 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """span_hashes of bytes, for spans in order that do not overlap, a part of `data` at a time."""
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + SLICE_BYTES, SLICE_BYTES))
+    out = [np.zeros(0, np.uint64)]
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if low < high:
+            at, stop = int(starts[low]), int(ends[high - 1])
+            out.append(span_hashes(data[at:stop].astype(np.uint64), starts[low:high] - at, ends[low:high] - at))
+    return np.concatenate(out)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column,
                     per_class: int, chars: int) -> list[tuple[str, int]]:
     """A bounded sample of (text, 0 or 1) of documents with a label that are not held out.

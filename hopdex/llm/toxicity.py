@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopdex.llm.common import Adam, labelled_sample, mix, sigmoid, slices, span_hashes, text_bytes, third, word_spans
+from hopdex.llm.common import (
+    Adam, labelled_sample, mix, sigmoid, slices, spans, text_bytes, third, word_hashes, word_spans)
 
 WINDOW, STRIDE = 32, 16
 WORDS, GRAMS = 1 << 15, 1 << 15  # buckets of the two tables of vectors
@@ -33,14 +34,14 @@ class Words:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         low = _LOWER[data]
         starts, ends = word_spans(low, offsets, _WORD_BYTE)
-        hashes = span_hashes(low.astype(np.uint64), starts, ends)
+        hashes = word_hashes(low, starts, ends)
         distinct, first, self.sequence = np.unique(hashes, return_index=True, return_inverse=True)
         text = np.searchsorted(offsets[1:], starts, side="right")
         self.counts = np.bincount(text, minlength=len(offsets) - 1)
         self.rows = (distinct % np.uint64(WORDS)).astype(np.int64)
         # Trigrams of ^word$: bytes padded on both sides.
         sizes = (ends - starts)[first]
-        at = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]]).astype(np.int64)
+        at = np.cumsum(sizes + 2) - (sizes + 2)
         padded = np.full(int((sizes + 2).sum()), 1, np.uint64)
         if len(first):
             inner = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -190,25 +191,17 @@ class Model:
 
 def _start(model: Model, words: Words, labels: np.ndarray) -> None:
     """Let one coordinate of the vectors begin as the log odds of words and trigrams."""
-    text = np.repeat(np.arange(len(labels)), words.counts)
-    toxic = labels[text] == 1
     share = (labels.sum() + 1) / (len(labels) + 2)
-
-    def odds(items: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
-        pairs = np.unique(items * len(labels) + of)  # each text counts once
-        items, hit = pairs // len(labels), labels[pairs % len(labels)] == 1
-        bad = np.bincount(items[hit], minlength=size) + 2 * share
-        good = np.bincount(items[~hit], minlength=size) + 2 * (1 - share)
-        return np.log(bad / good) - np.log(share / (1 - share))
-
-    del toxic
-    row = words.rows[words.sequence]
-    model.words[:, 0] = odds(row, text, WORDS)
-    first = np.cumsum(words.gram_counts) - words.gram_counts
-    sizes = words.gram_counts[words.sequence]
-    at = np.repeat(first[words.sequence], sizes) + (
-        np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes))
-    model.grams[:, 0] = odds(words.grams[at], np.repeat(text, sizes), GRAMS)
+    seen = {"words": np.zeros((2, WORDS)), "grams": np.zeros((2, GRAMS))}  # texts of each label
+    first, ends = np.cumsum(words.gram_counts) - words.gram_counts, np.cumsum(words.counts)
+    for text, label in enumerate(labels.tolist()):
+        some = np.unique(words.sequence[ends[text] - words.counts[text]: ends[text]])
+        grams = words.grams[spans(first[some], words.gram_counts[some])]
+        seen["words"][int(label), np.unique(words.rows[some])] += 1
+        seen["grams"][int(label), np.unique(grams)] += 1
+    for table, (good, bad) in (("words", seen["words"]), ("grams", seen["grams"])):
+        odds = np.log((bad + 2 * share) / (good + 2 * (1 - share))) - np.log(share / (1 - share))
+        getattr(model, table)[:, 0] = odds
 
 
 def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 1) -> Model:
@@ -232,16 +225,15 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 1) -> M
     marks = labels[train]
     _start(model, words, marks)
     places, number = windows(words.counts)
-    known = np.where(places >= 0, words.sequence[places], -1)
+    known = np.where(places >= 0, words.sequence[places], -1).astype(np.int32)
+    del places
     owner = np.repeat(np.arange(len(marks)), number)
     odds = np.concatenate([model.vectors(words)[:, 0], [-9.0]])
-    level = np.sort(odds[known], axis=1)[:, -2:].sum(axis=1)
+    level = np.concatenate([
+        np.sort(odds[known[at: at + 16_384]], axis=1)[:, -2:].sum(axis=1) for at in range(0, len(known), 16_384)])
     adam = Adam(model.weights, RATE)
-    tables = Adam({"vectors": np.zeros((len(words.rows), WIDTH), np.float32)}, RATE)
-    first = np.cumsum(number) - number
-    del first
     for epoch in range(epochs):
-        adam.rate = tables.rate = RATE * (1 - 0.8 * epoch / epochs)
+        adam.rate = RATE * (1 - 0.8 * epoch / epochs)
         by = np.lexsort((-level, owner))
         nth = np.arange(len(by)) - np.repeat(np.cumsum(number) - number, number)
         toxic = marks[owner[by]] == 1
@@ -253,8 +245,6 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 1) -> M
         importance = np.where(goal == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
         order = rng.permutation(len(chosen))
         vectors = model.vectors(words)
-        if epoch == 0:
-            tables.weights["vectors"] = vectors
         for at in range(0, len(order), BATCH):
             some = order[at: at + BATCH]
             used, inverse = np.unique(known[chosen[some]], return_inverse=True)

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from helpers import documents
 
-from hopdex.llm import quality_mil, toxicity
+from hopdex.llm import common, quality_mil, toxicity
 from hopdex.llm.common import text_bytes
 from hopdex.llm.quality_mil import score_quality
 from hopdex.llm.toxicity import score_toxicity
@@ -123,9 +123,20 @@ def test_windows_cover_the_text_and_overlap():
         assert set(seen[seen >= 0]) == set(range(first[text], first[text] + counts[text]))
 
 
-def test_slices_do_not_change_scores():
-    model = toxicity.Model()
-    texts = ["one two three", "", "four " * 90, "é x"]
-    whole = model.score(*text_bytes(pa.array(texts)))
-    single = np.concatenate([model.score(*text_bytes(pa.array([t]))) for t in texts])
-    assert np.allclose(whole, single, atol=1e-5)
+@pytest.mark.parametrize("model", [toxicity.Model(), quality_mil.Model()])
+def test_slices_do_not_change_scores(model):
+    def score(texts):
+        some = text_bytes(pa.array(texts))
+        return model.score(*some) if isinstance(model, toxicity.Model) else model.score(*quality_mil.passages(*some))
+
+    texts = ["one two three", "", "four " * 190, "é x", "...", ""]
+    single = np.concatenate([score([t]) for t in texts])
+    assert np.allclose(score(texts), single, atol=1e-5)
+
+
+def test_word_hashes_in_parts_equal_hashes_at_once(monkeypatch):
+    data = np.frombuffer(b"  one two  three four" * 20 + b" " * 50 + b"end", np.uint8)
+    starts, ends = common.word_spans(data, np.array([0, len(data)]), ~np.isin(np.arange(256), [32]))
+    whole = common.span_hashes(data.astype(np.uint64), starts, ends)
+    monkeypatch.setattr(common, "SLICE_BYTES", 16)
+    assert (common.word_hashes(data, starts, ends) == whole).all()
