@@ -66,8 +66,11 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[:, _CLASSES + 3] = np.log1p(length) / 6
     if len(data) > 1:
         low = data | 32  # the case is a feature of its own
+        inside = np.ones(len(data) - 1, bool)  # both bytes are of one text
+        ends = offsets[1:-1]
+        inside[ends[(ends > 0) & (ends < len(data))] - 1] = False
         pair = (low[:-1].astype(np.int64) * 31 + low[1:] * 7) % _PAIRS
-        pairs = np.bincount(of_byte[:-1] * _PAIRS + pair, minlength=total * _PAIRS)
+        pairs = np.bincount((of_byte[:-1] * _PAIRS + pair)[inside], minlength=total * _PAIRS)
         out[:, _SHARES:] = np.sqrt(pairs.reshape(total, _PAIRS) / some[:, None])
     return out, count
 
@@ -133,8 +136,9 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 1) -> M
         model.weights["score"][:] = 0
         model.weights["score0"][:] = 0 if not len(labels) else 4 * (2 * labels[0] - 1)
         return model
-    column = pa.array([text for text, _ in sample], pa.string())
-    inputs, counts = passages(*text_bytes(column))
+    texts = pa.record_batch({"text": pa.array([text for text, _ in sample], pa.string())})
+    parts = [passages(*text_bytes(part.column("text"))) for part in slices([texts])]
+    inputs, counts = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
     model.mean, model.scale = inputs.mean(0), inputs.std(0) + 0.02
     first = np.cumsum(counts) - counts
     share = labels.mean()
