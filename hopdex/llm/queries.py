@@ -58,7 +58,7 @@ def op5_quality_mil(spark, folder):
 
 @query
 def op6_fuzzy_lines(spark, folder):
-    cut = dedup_lines(table(spark, folder, "documents"))
+    cut = dedup_lines(table(spark, folder, "documents"), grams=True)
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
