@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from hopdex.llm.bpe import encode_documents
 from hopdex.llm.common import table
 from hopdex.llm.decontaminate import find_contamination
+from hopdex.llm.filter_audit import audit_filters
 from hopdex.llm.fuzzy_lines import dedup_lines
 from hopdex.llm.language_id import identify_languages
 from hopdex.llm.line_rules import rate_documents
 from hopdex.llm.ngram_join import similar_documents
 from hopdex.llm.quality_mil import score_quality
+from hopdex.llm.simhash import similar_fingerprints
+from hopdex.llm.spelling import group_variants
 from hopdex.llm.suffix_dedup import remove_repeats
 from hopdex.llm.toxicity import score_toxicity
 from hopdex.llm.url_rules import judge_urls
@@ -83,3 +86,18 @@ def op9_url_rules(spark, folder):
 @query
 def op10_ngram_join(spark, folder):
     return similar_documents(table(spark, folder, "documents")).drop("k_id", "k_text")
+
+
+@query
+def op11_filter_audit(spark, folder):
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_spelling_variants(spark, folder):
+    return group_variants(table(spark, folder, "documents"))
+
+
+@query
+def op13_simhash(spark, folder):
+    return similar_fingerprints(table(spark, folder, "documents"))
