@@ -20,18 +20,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, k_id, k_text, and `rest` if given): k_id and k_text name a row, never null.
+def keyed(docs: DataFrame, rest: str | None = None) -> DataFrame:
+    """(doc_id, text, k_id, k_text, and the column `rest` names as `rest`): k_id and k_text name a row, never null.
 
     Rows with the same id and the same text are one document that is repeated; all
     of them get the same results. A null id sorts after all others, a null text is
     empty. k_text is a hash of the text where an id has several texts, and 0
     elsewhere, which is what nearly all rows have and costs next to nothing in a
-    shuffle. Columns but `rest` are left behind, so their names cannot clash.
+    shuffle. Other columns are left behind, so their names cannot clash.
     """
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    rest = ["rest"] if "rest" in docs.columns else []
-    base = docs.select("doc_id", text, F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), *rest)
+    more = [F.col(rest).alias("rest")] if rest else []
+    rest = ["rest"] if rest else []
+    base = docs.select("doc_id", text, F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), *more)
     of_text = F.xxhash64("text")
     several = base.groupBy("k_id").agg(F.min(of_text).alias("one"), F.max(of_text).alias("two"))
     several = stage(several.filter("one <> two").select("k_id", F.lit(True).alias("several")), "ids")

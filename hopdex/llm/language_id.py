@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hopdex.llm.bpe import _byte_letters
 from hopdex.llm.common import slices, third
@@ -207,7 +208,8 @@ def _predict(model, rest):
     return run
 
 
-def identify_languages(docs: DataFrame, vocabulary: str, train: DataFrame | None = None) -> DataFrame:
+def identify_languages(docs: DataFrame, vocabulary: str, train: DataFrame | None = None,
+                       rest: str | None = None) -> DataFrame:
     """The language of every document, from its text alone.
 
     Learns from `train` (default: the rows of `docs` whose crc32 of doc_id modulo 3 is
@@ -216,17 +218,17 @@ def identify_languages(docs: DataFrame, vocabulary: str, train: DataFrame | None
     language among those learned. `und` with score 0 if the text is null, empty or
     without a letter, or if nothing could be learned. A null lang is not learned
     from; a null id counts as the text 'null'; repeated rows get the same results; an
-    empty table gives none. If `docs` has a column `rest`, it and the text are returned
-    too; other columns are ignored. Needs no shuffle of texts.
+    empty table gives none. The column of `docs` that `rest` names is returned with the
+    text; other columns are ignored. Needs no shuffle of texts.
     """
     held_out = third(F.col("doc_id"), 3) == 1
     pairs = training_sample(docs.filter(~held_out) if train is None else train)
     model = docs.sparkSession.sparkContext.broadcast(fit(pairs, read_pieces(vocabulary)))
-    schema, rest = "doc_id long, held_out boolean, lang_pred string, score double", []
-    if "rest" in docs.columns:
-        rest = ["text", "rest"]
-        schema += f", text string, rest {docs.schema['rest'].dataType.simpleString()}"
+    schema = T.StructType().add("doc_id", "long").add("held_out", "boolean").add("lang_pred", "string").add("score", "double")
+    if rest:
+        schema.add("text", "string").add("rest", docs.schema[rest].dataType)
     return docs.select(
         "doc_id", "text", held_out.alias("held_out"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"), *rest[1:],
-    ).mapInArrow(_predict(model, rest), schema)
+        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"),
+        *([F.col(rest).alias("rest")] if rest else []),
+    ).mapInArrow(_predict(model, ["text", "rest"] if rest else []), schema)
