@@ -38,6 +38,9 @@ def corpus():
     rows += [(30, "menu 1: home " * 8, "h2"), (31, unique("q", 25) + " " + unique("q", 25), None)]
     rows += [(32, unique("é#*", 40) + "\t\x0b\r\n\n \n" + unique("b", 3), None), (33, None, "h1"), (34, "", None)]
     rows += [(35, "a " * 50, "h1"), (None, unique("z", 21), "h1"), (36, unique("é", 22), "h1"), (36, unique("é", 22), "h1")]
+    # Long menus that six documents of a host share, and little else: no window repeats.
+    menus = "\n".join(f"{unique('m', 6)} {chr(112 + k)}{unique('n' + chr(112 + k), 8)}" for k in range(3))
+    rows += [(60 + i, menus + "\n" + unique(f"own{chr(97 + i)}", 6), "h4") for i in range(6)]
     rows += [(37, " ".join(["one two three four five six seven eight"] * 2) + " " + unique("k", 60), "h3")]
     return rows
 
