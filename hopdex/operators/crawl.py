@@ -1,11 +1,14 @@
 """Breadth-first crawl over tables of fetched pages."""
 
-from pyspark.sql import DataFrame
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopdex.functions.urls import normalize_url
 from hopdex.operators.extract import fetch_state, is_success
-from hopdex.operators.joins import is_small, match_join
+from hopdex.operators.joins import HOT_ROWS, drop_known, is_small, match_join, only_keys
 from hopdex.operators.ranking import rank_within
 from hopdex.schemas import SEEDS
 from hopdex.session import shared_folder, stage
@@ -62,42 +65,113 @@ def accepted(checked: DataFrame) -> DataFrame:
     return placed.select(F.coalesce("job_id", made).alias("job_id"), "origin_url", "max_depth", *settings)
 
 
-def _walk(seeds: DataFrame, step) -> DataFrame:
-    """Level by level from the seeds; `step` turns a frontier into reached rows.
+@dataclass
+class LinkGraph:
+    """Links between URLs as numbers.
 
-    Each level is written to the shared folder: that cuts the lineage, survives
-    lost executors and tells the optimizer the frontier's true size.
+    nodes: (url, node), a number for every URL. links: (src, dst), a table bucketed by
+    src. heavy: the links of sources that have too many for one bucket, in no order.
     """
-    spark = seeds.sparkSession
-    root = shared_folder(spark, "crawl")
-    start = seeds.filter("max_depth >= 0").select(
-        "job_id", "origin_url", "max_depth", F.col("origin_url").alias("url"),
-        F.lit(0).alias("depth"),
-    )
 
-    key = ["job_id", "origin_url", "max_depth", "url"]
+    nodes: DataFrame
+    links: DataFrame
+    heavy: DataFrame
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
 
-    def read(levels) -> DataFrame:
-        return spark.read.schema(start.schema).parquet(*[f"{root}/hop-{d}" for d in levels])
+def _append_bucketed(rows: DataFrame, table: str, where: str, by: list[str]) -> DataFrame:
+    """Add rows to a table in the shared folder that is bucketed by the columns `by`.
 
+    A join or an aggregate by these columns reads it without a shuffle, however often
+    it was added to.
+    """
+    spark = rows.sparkSession
+    buckets = _buckets(spark)
+    # One task writes a bucket, so that each addition has one file of it.
+    rows = rows.repartition(buckets, *by)
+    rows.write.mode("append").option("path", where).bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
+    return spark.table(table)
+
+
+def link_graph(edges: DataFrame, others: DataFrame, hot_rows: int = HOT_ROWS) -> LinkGraph:
+    """The graph of edges (src, dst); `others` are URLs (url) that may have no link.
+
+    URLs are shuffled as text here and never again: to number the distinct ones and to
+    put their numbers in place of them. Hot targets are cut like any hot key.
+    """
+    spark = edges.sparkSession
+    urls = edges.select(F.col("src").alias("url")).union(edges.select("dst")).union(others.select("url"))
+    nodes = urls.filter("url is not null").distinct().withColumn("node", F.monotonically_increasing_id())
+    nodes = stage(nodes, "nodes")  # numbers hold once they are written
+    coded = match_join(edges, nodes.select(F.col("url").alias("dst"), F.col("node").alias("to")), ["dst"], ["src"])
+    coded = match_join(coded, nodes.select(F.col("url").alias("src"), F.col("node").alias("from")), ["src"], ["to"])
+    coded = stage(coded.select(F.col("from").alias("src"), F.col("to").alias("dst")), "links")
+    sources = coded.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
+    sources = stage(sources.select("src"), "heavy")
+    name = f"links_{uuid.uuid4().hex}"
+    links = _append_bucketed(drop_known(coded, sources, ["src"]), name, shared_folder(spark, "graph"), ["src"])
+    return LinkGraph(nodes, links, only_keys(coded, sources, ["src"]))
+
+
+def _next(frontier: DataFrame, graph: LinkGraph, hot_rows: int) -> DataFrame:
+    """(job, max_depth, node): what the links of a frontier lead to, repeats included."""
+    all_links = graph.links.unionByName(graph.heavy)
+    starts = frontier.select("job", "max_depth", F.col("node").alias("src"))
+    if is_small(starts):
+        met = all_links.join(F.broadcast(starts), "src")
+        return met.select("job", "max_depth", F.col("dst").alias("node"))
+    # Sources with many links, and those where many jobs are, are cut into pieces.
+    busy = starts.groupBy("src").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("src")
+    apart = stage(busy.unionByName(graph.heavy.select("src").distinct()).distinct(), "apart")
+    met = drop_known(starts, apart, ["src"]).repartition(_buckets(starts.sparkSession), "src").join(graph.links, "src")
+    met = met.select("job", "max_depth", "dst")
+    if not apart.isEmpty():
+        cut = match_join(only_keys(starts, apart, ["src"]), only_keys(all_links, apart, ["src"]),
+                         ["src"], ["job"], ["dst"], broadcast=None, hot_rows=hot_rows)
+        met = met.unionByName(cut.select("job", "max_depth", "dst"))
+    return met.select("job", "max_depth", F.col("dst").alias("node"))
+
+
+def not_visited(reached: DataFrame, visited: DataFrame) -> DataFrame:
+    """(job, node, max_depth): each reached node of a job once, without those it has visited.
+
+    `visited` is bucketed by (job, node), so only what was reached is shuffled, by three
+    numbers a row and without the repeats inside a task.
+    """
+    once = reached.groupBy("job", "node").agg(F.min("max_depth").alias("max_depth"))
+    return once.join(visited.select("job", "node"), ["job", "node"], "left_anti")
+
+
+def walk(seeds: DataFrame, graph: LinkGraph, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Discoveries of the seeds over a graph that has their URLs, level by level.
+
+    Jobs and URLs are numbers on the way. Visited nodes are one bucketed table in the
+    shared folder to which every level is added: that cuts the lineage, survives lost
+    executors, tells the frontier's true size, and no level shuffles an earlier one.
+    """
+    spark = seeds.sparkSession
     # A job that names an origin twice goes as deep as the deeper request.
-    roots = start.groupBy("job_id", "origin_url", "url", "depth").agg(F.max("max_depth").alias("max_depth"))
-    roots.select(*start.columns).write.parquet(f"{root}/hop-0")
+    jobs = seeds.filter("max_depth >= 0").groupBy("job_id", "origin_url").agg(F.max("max_depth").alias("max_depth"))
+    jobs = match_join(jobs, graph.nodes.withColumnRenamed("url", "origin_url"), ["origin_url"], ["job_id"])
+    jobs = stage(jobs.withColumn("job", F.monotonically_increasing_id()), "jobs")
+    name, where = f"visited_{uuid.uuid4().hex}", shared_folder(spark, "visited")
     depth = 0
+    fresh = jobs.select("job", "node", "max_depth")
     while True:
-        frontier = read([depth]).filter("depth < max_depth")
+        visited = _append_bucketed(fresh.withColumn("depth", F.lit(depth)), name, where, ["job", "node"])
+        # Files of a level hold one depth, by which the others are skipped.
+        frontier = visited.filter((F.col("depth") == depth) & (F.col("max_depth") > depth))
         if frontier.isEmpty():
             break
-        # One row per (job, URL). Origin and depth limit belong to the job, so they
-        # ride along in the key: a distinct over plain keys stays a hash
-        # aggregate, drops repeats before the shuffle, and leaves the rows
-        # partitioned as the match with the visited rows needs them.
-        reached = step(frontier).select(*key).distinct()
-        fresh = reached.join(read(range(depth + 1)).select(*key), key, "left_anti")
-        fresh = fresh.withColumn("depth", F.lit(depth + 1))
+        fresh = not_visited(_next(frontier, graph, hot_rows), visited)
         depth += 1
-        fresh.select(*start.columns).write.parquet(f"{root}/hop-{depth}")
-    return read(range(depth + 1)).select("job_id", "origin_url", "url", "depth")
+    found = spark.read.schema(visited.schema).parquet(where)
+    found = match_join(found.select("job", "node", "depth"), jobs.select("job", "job_id", "origin_url"), ["job"], ["node"])
+    found = match_join(found, graph.nodes, ["node"], ["job"])
+    return found.select("job_id", "origin_url", "url", "depth")
 
 
 def crawl(seeds: DataFrame, pages: DataFrame) -> DataFrame:
@@ -105,34 +179,17 @@ def crawl(seeds: DataFrame, pages: DataFrame) -> DataFrame:
 
     `seeds` has (job_id, origin_url, max_depth), `pages` at least (url, links,
     error, status_code) with one row per URL. Every level joins the frontier of
-    all jobs with the pages once, whatever the number of jobs; depth is the hop
+    all jobs with the links once, whatever the number of jobs; depth is the hop
     count at which a job first meets a URL. Only successful pages lead further.
-    A small frontier is broadcast, so the page table is not shuffled for it.
     """
-    links = pages.filter(is_success()).select("url", "links")
-
-    def step(frontier):
-        if is_small(frontier):
-            met = links.join(F.broadcast(frontier), "url")
-        else:
-            met = match_join(frontier, links, ["url"], ["job_id"], broadcast=None)
-        return met.withColumn("url", F.explode("links"))
-
-    return _walk(seeds, step)
+    links = pages.filter(is_success()).select(F.col("url").alias("src"), F.explode("links").alias("dst"))
+    return crawl_edges(seeds, links)
 
 
 def crawl_edges(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """As `crawl`, over a link table (src, dst) in which every source is a good page.
-
-    The links of one source can be a large share of the table, so they stay rows.
-    """
-    out = edges.select(F.col("src").alias("url"), "dst")
-
-    def step(frontier):
-        met = match_join(frontier, out, ["url"], ["job_id"], ["dst"], broadcast="left")
-        return met.withColumn("url", F.col("dst"))
-
-    return _walk(seeds, step)
+    """As `crawl`, over a link table (src, dst) in which every source is a good page."""
+    graph = link_graph(edges.select("src", "dst"), seeds.select(F.col("origin_url").alias("url")))
+    return walk(seeds, graph)
 
 
 def dead_links(discoveries: DataFrame, pages: DataFrame) -> DataFrame:

@@ -35,9 +35,8 @@ def test_log_limit_runs_before_the_shuffle(spark):
 
 def test_logs_are_appended(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path))
-    for batch in (0, 1):
-        store.write("logs", logs(spark, 3), batch)
-        store.commit(batch, ["logs"])
+    for _ in range(2):
+        store.add(logs=logs(spark, 3))
     assert store.read("logs").count() == 6
 
 
@@ -87,7 +86,9 @@ def test_newest_first(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries()) == set(QUERIES)
+    """Queries of other subpackages may have none."""
+    oracles = set(entry_points.oracle_sql())
+    assert set(QUERIES) <= oracles <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", ["search_ranked", "frontier_actions", "stream_postings", "word_entry_upsert"])

@@ -217,10 +217,11 @@ def test_counter_stream_updates(spark, tmp_path):
 
 
 def test_one_response_per_url(spark):
-    offered = responses(spark, [("a", "1"), ("a", "1"), ("a", "2"), ("b", "3"), ("c", "4"), ("c", "4")])
+    a, b, c = (f"http://s.test/{name}" for name in "abc")
+    offered = responses(spark, [(a, "1"), (a, "1"), (a, "2"), (b, "3"), (c, "4"), (c, "4")])
     first = sorted((r.url, bytes(r.body)) for r in one_per_url(offered.repartition(3)).collect())
     again = sorted((r.url, bytes(r.body)) for r in one_per_url(offered.repartition(2)).collect())
-    assert [u for u, _ in first] == ["a", "b", "c"] and first == again
+    assert [u for u, _ in first] == [a, b, c] and first == again
 
 
 def test_a_good_answer_is_taken_before_a_failure(spark):
