@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopdex.llm.common import keyed, slices, text_bytes
+from hopdex.llm.common import keyed, slices, spans, text_bytes
 
 # Errors allowed, as a part of the characters of an item.
 ERROR_RATE = 0.08
@@ -20,6 +20,8 @@ ERROR_RATE = 0.08
 PASS_ITEMS, PASS_CHARS = 50_000, 16_000_000
 _KEY = 8
 _FILTER_BITS = 22
+# Items that a task keeps ready for Myers' algorithm.
+_PATTERNS = 2_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
@@ -93,31 +95,50 @@ class Pattern:
         return score
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place as one number, zeros behind the end."""
+    padded = np.concatenate([data, np.zeros(_KEY, np.uint8)])
+    return np.ndarray(shape=(len(data),), dtype=">u8", buffer=padded.data, strides=(1,)).astype(np.uint64)
+
+
 class Matcher:
-    """Finds all items of one pass in texts."""
+    """Finds all items of one pass in texts.
+
+    Items are one run of bytes and pieces are rows of arrays sorted by key, so that a
+    task holds about thirty bytes for a piece.
+    """
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items = []
-        wanted: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
-        for item_id, text in items:
-            text = normal(text)
-            if not text:
-                continue
-            errors = int(len(text) * error_rate)
-            number = len(self.items)
-            self.items.append((item_id, text, errors))
-            for offset, piece in pieces_of(text, errors):
-                raw = piece.encode()
-                size = min(_KEY, len(raw))
-                key = int.from_bytes(raw[:size], "big")
-                wanted[size][key].append((raw, number, offset))
-        self.wanted = {size: dict(keys) for size, keys in wanted.items()}
-        self.filters = {}
-        for size, keys in self.wanted.items():
-            sorted_keys = np.array(sorted(keys), np.uint64)
+        known = [(item_id, text) for item_id, text in ((i, normal(t)) for i, t in items) if text]
+        raw = [text.encode() for _, text in known]
+        self.ids = np.array([item_id for item_id, _ in known], object)
+        self.errors = np.array([int(len(text) * error_rate) for _, text in known], np.int32)
+        self.bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        self.blob = b"".join(raw)
+        number, offset, start, length = [], [], [], []
+        for at, ((_, text), data) in enumerate(zip(known, raw, strict=True)):
+            cuts = np.array([o for o, _ in pieces_of(text, int(self.errors[at]))] + [len(text)])
+            if len(data) == len(text):
+                places = cuts
+            else:  # from characters to bytes
+                begins = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+                places = np.append(begins, len(data))[cuts]
+            number.append(np.full(len(cuts) - 1, at, np.int32))
+            offset.append(cuts[:-1].astype(np.int32))
+            start.append(places[:-1] + self.bounds[at])
+            length.append(np.diff(places).astype(np.int32))
+        empty = [np.zeros(0, np.int64)]
+        number, offset, start, length = (np.concatenate(x or empty) for x in (number, offset, start, length))
+        self.pieces = {}
+        words = _words(np.frombuffer(self.blob, np.uint8))
+        for size in np.unique(np.minimum(length, _KEY)).tolist():
+            some = np.flatnonzero(np.minimum(length, _KEY) == size)
+            keys = words[start[some]] >> np.uint64(8 * (_KEY - size))
+            by = np.argsort(keys, kind="stable")
+            some, keys = some[by], keys[by]
             bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[self._slot(sorted_keys)] = True
-            self.filters[size] = (bits, sorted_keys)
+            bits[self._slot(keys)] = True
+            self.pieces[size] = bits, keys, number[some], offset[some], start[some], length[some]
         self._patterns: dict[int, Pattern] = {}
 
     @staticmethod
@@ -126,27 +147,27 @@ class Matcher:
 
     def pattern(self, number: int) -> Pattern:
         if number not in self._patterns:
-            self._patterns[number] = Pattern(*self.items[number][1:])
+            if len(self._patterns) >= _PATTERNS:
+                self._patterns.clear()
+            text = self.blob[self.bounds[number]: self.bounds[number + 1]].decode()
+            self._patterns[number] = Pattern(text, int(self.errors[number]))
         return self._patterns[number]
 
     def piece_hits(self, data: np.ndarray):
         """(byte place, item, character offset in the item) of every exact piece hit."""
         if not len(data):
             return
-        padded = np.concatenate([data, np.zeros(_KEY, np.uint8)])
-        words = np.ndarray(shape=(len(data),), dtype=">u8", buffer=padded.data, strides=(1,)).astype(np.uint64)
-        raw = data.tobytes()
-        for size, (bits, sorted_keys) in self.filters.items():
+        words, raw = _words(data), data.tobytes()
+        for size, (bits, sorted_keys, number, offset, start, length) in self.pieces.items():
             keys = words >> np.uint64(8 * (_KEY - size))
             places = np.flatnonzero(bits[self._slot(keys)])
-            found = keys[places]
-            at = np.minimum(np.searchsorted(sorted_keys, found), len(sorted_keys) - 1)
-            exact = sorted_keys[at] == found
-            table = self.wanted[size]
-            for place, key in zip(places[exact].tolist(), found[exact].tolist(), strict=True):
-                for piece, number, offset in table[key]:
-                    if raw[place: place + len(piece)] == piece:
-                        yield place, number, offset
+            low = np.searchsorted(sorted_keys, keys[places])
+            count = np.searchsorted(sorted_keys, keys[places], side="right") - low
+            rows = spans(low, count)
+            columns = (np.repeat(places, count), number[rows], offset[rows], start[rows], length[rows])
+            for place, item, at, begin, long in zip(*(c.tolist() for c in columns), strict=True):
+                if raw[place: place + long] == self.blob[begin: begin + long]:
+                    yield place, item, at
 
     def matches(self, data: np.ndarray, offsets: np.ndarray):
         """(text, item, distance, end) of every item that occurs; the best place of each."""
@@ -163,11 +184,11 @@ class Matcher:
             start = int(texts[row][1][place - bounds[row]]) - 1 - offset
             seen[row, number].add(start)
         for (row, number), starts in seen.items():
-            item_id, text, errors = self.items[number]
-            best = None
-            for low, high in _merged(sorted(starts), errors, len(text)):
+            item_id, pattern = self.ids[number], self.pattern(number)
+            errors, best = pattern.errors, None
+            for low, high in _merged(sorted(starts), errors, len(pattern.text)):
                 low = max(low, 0)
-                distance, end = self.pattern(number).best(texts[row][0][low:high])
+                distance, end = pattern.best(texts[row][0][low:high])
                 if distance <= errors and (best is None or (distance, low + end) < best):
                     best = distance, low + end
             if best:
