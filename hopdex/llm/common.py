@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hopdex.operators.joins import is_small
+from hopdex.operators.joins import is_small, match_join
 from hopdex.session import stage
 
 # Bytes of text that one step of a Python task looks at together.
@@ -144,25 +144,53 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return np.concatenate(out)
 
 
+def smallest_hashes(rows: DataFrame, group: str, most: int) -> DataFrame:
+    """At most `most` rows of each group, those with the smallest `h`; `rows` is a written table.
+
+    A hash is as likely small as large, so a bound that follows from the size of the
+    group leaves about twice `most` rows to rank. No task ranks a whole group.
+    """
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_of"))
+    near = match_join(rows, stage(sizes, "groups"), [group], ["h"])
+    place = F.col("h") / F.lit(2.0**64) + 0.5  # between 0 and 1
+    near = near.filter(place * F.col("_of") <= 2 * most + 20).drop("_of")
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("h"))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
+
+
+def texts_within(rows: list, group: str, most_bytes: int) -> list:
+    """Rows in the order of their hashes whose texts fit in `most_bytes` for a group; texts stay whole."""
+    held: dict = {}
+    chosen = []
+    for row in sorted(rows, key=lambda r: (str(r[group]), r["h"])):
+        total = held.get(row[group], 0) + row["size"]
+        if total <= most_bytes:
+            held[row[group]] = total
+            chosen.append(row)
+    return chosen
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column,
-                    per_class: int, chars: int) -> list[tuple[str, int]]:
+                    per_class: int, class_bytes: int) -> list[tuple[str, int]]:
     """A bounded sample of (text, 0 or 1) of documents with a label that are not held out.
 
     At most `per_class` documents of each class, those with the smallest id hashes, and
-    of each text the first `chars` characters; this bounds what the driver fetches. Of
+    of these as many as have `class_bytes` bytes of text together; texts are whole, and
+    one longer than that is left out. Both bounds say what the driver fetches. Of
     several labels of an id the largest counts, of several texts the smallest.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.filter(~held_out).groupBy("doc_id").agg(
         F.max((F.col(label) == 1).cast("int")).alias("_label"))
-    order = Window.partitionBy("_label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_class)
-    text = F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text")
-    rows = (
-        docs.select("doc_id", text).join(F.broadcast(chosen.select("doc_id", "_label")), "doc_id")
-        .groupBy("doc_id", "_label").agg(F.min("text").alias("text")).orderBy("doc_id")
-    )
-    return [(r.text, r["_label"]) for r in rows.collect()]
+    known = stage(known.withColumn("h", F.xxhash64("doc_id")), "labelled")
+    chosen = stage(smallest_hashes(known, "_label", per_class), "chosen")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sizes = texts.select("doc_id", F.octet_length("text").alias("size")).join(F.broadcast(chosen), "doc_id")
+    sizes = sizes.groupBy("doc_id", "_label", "h").agg(F.max("size").alias("size"))
+    picked = [(r.doc_id, r["_label"]) for r in texts_within(sizes.collect(), "_label", class_bytes)]
+    picked = docs.sparkSession.createDataFrame(picked, "doc_id long, _label int")
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "_label").agg(F.min("text").alias("text"))
+    return [(r.text, r["_label"]) for r in rows.orderBy("doc_id").collect()]
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -11,19 +11,20 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hopdex.llm.bpe import _byte_letters
-from hopdex.llm.common import slices, third
+from hopdex.llm.common import slices, smallest_hashes, texts_within, third
+from hopdex.session import stage
 
 # Pieces have at most this many bytes, so that one fits a 64-bit number.
 LONGEST = 8
 # A word is scored in parts of this many bytes, the blank before it included.
 PART = 32
 # Training takes at most this many texts of a language, and of each so many characters.
-SAMPLE_TEXTS, SAMPLE_CHARS = 300, 8_000
+SAMPLE_TEXTS, SAMPLE_BYTES = 300, 2_000_000
 ROUNDS = 4
 _WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -176,16 +177,18 @@ def fit(texts: list[tuple[str, str]], pieces: list[bytes], rounds: int = ROUNDS)
     return Model(languages, [p for p, u in zip(pieces, used, strict=True) if u], chance[used])
 
 
-def training_sample(docs: DataFrame, most: int = SAMPLE_TEXTS) -> list[tuple[str, str]]:
-    """At most `most` (lang, text) pairs of each language, those with the smallest hashes.
+def training_sample(docs: DataFrame, most: int = SAMPLE_TEXTS, most_bytes: int = SAMPLE_BYTES) -> list[tuple[str, str]]:
+    """Whole (lang, text) pairs: at most `most` of a language, and `most_bytes` bytes of text.
 
-    The rank is cut before the shuffle, so a language may hold any part of the rows.
+    Those with the smallest hashes of their texts, equal texts once. Only hashes are
+    ranked; the texts of the chosen ones are fetched afterwards.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    text = F.substring("text", 1, SAMPLE_CHARS).alias("text")
-    known = docs.filter("lang is not null and text is not null").select("lang", text)
-    ranked = known.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most)
-    return [(r.lang, r.text) for r in ranked.select("lang", "text").orderBy("lang", "text").toLocalIterator()]
+    known = docs.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    hashes = known.groupBy("lang", "h").agg(F.max(F.octet_length("text")).alias("size"))
+    chosen = texts_within(smallest_hashes(stage(hashes, "hashes"), "lang", most).collect(), "lang", most_bytes)
+    picked = docs.sparkSession.createDataFrame([(r.lang, r.h) for r in chosen], "lang string, h long")
+    texts = known.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return [(r.lang, r.text) for r in texts.orderBy("lang", "text").collect()]
 
 
 def _predict(model, rest):
@@ -213,7 +216,7 @@ def identify_languages(docs: DataFrame, vocabulary: str, train: DataFrame | None
     """The language of every document, from its text alone.
 
     Learns from `train` (default: the rows of `docs` whose crc32 of doc_id modulo 3 is
-    not 1), a bounded sample of SAMPLE_TEXTS texts of each language. Returns doc_id,
+    not 1), a sample of SAMPLE_TEXTS whole texts and SAMPLE_BYTES bytes of each language at most. Returns doc_id,
     held_out (that remainder is 1), lang_pred and score, the probability of that
     language among those learned. `und` with score 0 if the text is null, empty or
     without a letter, or if nothing could be learned. A null lang is not learned

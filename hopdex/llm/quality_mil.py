@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from hopdex.llm.common import Adam, labelled_sample, sigmoid, slices, span_hashes, text_bytes, third, word_spans
 
 PASSAGE = 512  # bytes
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 1_500, 20_000
+SAMPLE_PER_CLASS, SAMPLE_BYTES = 1_500, 8_000_000
 CODE, ATTENTION, EPOCHS, BATCH, RATE = 24, 12, 30, 64, 0.01
 _PAIRS = 128  # buckets of the byte-pair histogram
 
@@ -171,14 +171,14 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The probability that a document has label 1, from its whole text.
 
     Learns from the labels of rows whose crc32 of doc_id modulo 3 is not 1, a sample of
-    at most SAMPLE_PER_CLASS documents a class. Returns doc_id, held_out (that
+    at most SAMPLE_PER_CLASS whole documents and SAMPLE_BYTES bytes a class. Returns doc_id, held_out (that
     remainder is 1), score and predicted (1 if score >= 0.5). Null and empty texts
     are a bag of one empty passage; null labels and label ids are not learned from;
     without any label all scores are 0.5. A repeated row gets the same score; other
     columns are ignored; an empty table gives none. Needs no shuffle of texts.
     """
     held_out = third(F.col("doc_id"), 3) == 1
-    sample = labelled_sample(docs, labels, "quality", held_out, SAMPLE_PER_CLASS, SAMPLE_CHARS)
+    sample = labelled_sample(docs, labels, "quality", held_out, SAMPLE_PER_CLASS, SAMPLE_BYTES)
     model = docs.sparkSession.sparkContext.broadcast(fit(sample))
     return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double, predicted int"

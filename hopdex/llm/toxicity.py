@@ -18,7 +18,7 @@ from hopdex.llm.common import (
 WINDOW, STRIDE = 32, 16
 WORDS, GRAMS = 1 << 15, 1 << 15  # buckets of the two tables of vectors
 WIDTH, STATE = 12, 10
-SAMPLE_PER_CLASS, SAMPLE_CHARS = 2_000, 20_000
+SAMPLE_PER_CLASS, SAMPLE_BYTES = 2_000, 8_000_000
 EPOCHS, BATCH, RATE = 8, 128, 0.01
 _PAD = 0
 
@@ -315,14 +315,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The probability that a document is toxic, from all windows of its whole text.
 
     Learns from the labels of rows whose crc32 of doc_id modulo 5 is not 0, a sample of
-    at most SAMPLE_PER_CLASS documents a class. Returns doc_id, held_out (that
+    at most SAMPLE_PER_CLASS whole documents and SAMPLE_BYTES bytes a class. Returns doc_id, held_out (that
     remainder is 0), score and predicted (1 if score >= 0.5). Null and empty texts are
     one empty window; null labels and label ids are not learned from; without any
     label all scores are 0.5. A repeated row gets the same score; other columns are
     ignored; an empty table gives none. Needs no shuffle of texts.
     """
     held_out = third(F.col("doc_id"), 5) == 0
-    sample = labelled_sample(docs, labels, "toxic", held_out, SAMPLE_PER_CLASS, SAMPLE_CHARS)
+    sample = labelled_sample(docs, labels, "toxic", held_out, SAMPLE_PER_CLASS, SAMPLE_BYTES)
     model = docs.sparkSession.sparkContext.broadcast(fit(sample))
     return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double, predicted int"

@@ -140,3 +140,18 @@ def test_word_hashes_in_parts_equal_hashes_at_once(monkeypatch):
     whole = common.span_hashes(data.astype(np.uint64), starts, ends)
     monkeypatch.setattr(common, "SLICE_BYTES", 16)
     assert (common.word_hashes(data, starts, ends) == whole).all()
+
+
+def test_samples_hold_whole_texts(spark):
+    """The only sign of a class stands behind 20,000 characters; the bound drops rows, not parts of texts."""
+    from pyspark.sql import functions as F
+
+    from hopdex.llm.common import labelled_sample
+    rows = [(i, "word " * 5_000 + ("poison" if i % 2 else "honey")) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(0, None), (None, 1)], "doc_id long, toxic int")
+    docs = documents(spark, rows + [(41, None)])
+    sample = labelled_sample(docs, labels, "toxic", F.col("doc_id") % 5 == 0, 10, 150_000)
+    assert [sum(label == own for _, label in sample) for own in (0, 1)] == [5, 5]
+    assert all(text.endswith("poison" if label else "honey") for text, label in sample)
+    assert len(labelled_sample(docs, labels, "toxic", F.lit(False), 7, 10**9)) == 14
+    assert labelled_sample(docs, labels, "toxic", F.lit(True), 7, 10**9) == []

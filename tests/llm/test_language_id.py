@@ -68,3 +68,17 @@ def test_model_needs_no_labels_of_a_text():
     scores = model.score_texts(["los que ñas", "the and", ""])
     assert scores[0].argmax() == 1 and scores[1].argmax() == 0 and (scores[2] == 0).all()
     assert words_of("Ab1c d_E é!") == ["ab", "c", "d", "e", "é"]
+
+
+def test_training_texts_are_whole_and_ranked_by_hash(spark):
+    from hopdex.llm.language_id import training_sample
+    rows = [(i, f"{i} " + "long " * 4_000, "xx") for i in range(30)] + [(100 + i, "same text", "yy") for i in range(500)]
+    sample = training_sample(documents(spark, rows + [(None, "no language", None), (7, None, "xx")]), 10, 100_000)
+    assert sum(lang == "xx" for lang, _ in sample) == 4 and sample.count(("yy", "same text")) == 1
+    assert all(t.count("long") == 4_000 for lang, t in sample if lang == "xx")
+
+
+def test_ties_go_to_the_first_language(spark):
+    train = documents(spark, [(1, "same words here", "yy"), (2, "same words here", "xx")])
+    found = identify_languages(documents(spark, [(3, "same words here", None)]), PATH, train=train).collect()
+    assert [(r.lang_pred, r.score) for r in found] == [("xx", 0.5)]
