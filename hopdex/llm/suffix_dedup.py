@@ -29,10 +29,12 @@ LENGTH = 100
 GRAM = 16
 # Starts after which a region is cut, so that periodic text has bounded regions.
 REGION = 1 << 16
-# Bytes of text that one sort looks at. One name has at most HOT regions there.
+# Bytes of text that one sort looks at, and what is left of its last name.
 BLOCK = 2 << 20
-# Names with more regions go another way, which does not gather them in a task.
+# Names with more regions, or more bytes of text, go another way, which does not gather
+# them in a task.
 HOT = 50_000
+HOT_BYTES = 8 << 20
 CHUNK = 1 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -143,39 +145,49 @@ def _words(data: np.ndarray) -> np.ndarray:
     return view.astype(np.uint64)
 
 
-def _direct_sort(places: np.ndarray, words: np.ndarray, length: int) -> np.ndarray:
+def _strings_at(data: np.ndarray, places: np.ndarray, length: int):
+    """(first, rows) for slices of the places: the bytes from each as rows of words.
+
+    One copy of neighbouring bytes for a place; the last word is filled up with zeros.
+    """
+    width = -(-length // 8) * 8
+    padded = np.concatenate([data, np.zeros(width, np.uint8)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, width)
+    for at in range(0, len(places), 1 << 14):
+        rows = windows[places[at: at + (1 << 14)]]
+        rows[:, length:] = 0
+        yield at, rows.view(np.uint64)
+
+
+def _direct_sort(data: np.ndarray, places: np.ndarray, words: np.ndarray, length: int) -> np.ndarray:
     """Places ordered by the `length` bytes from there, eight more at a time.
 
     Groups in which nothing differs any more are left as they are.
     """
     order = places[np.argsort(words[places], kind="stable")]
-    if len(order) < 2:
-        return order
-    group = np.zeros(len(order), np.int64)
-    key = words[order]
-    np.cumsum(key[1:] != key[:-1], out=group[1:])
-    last = len(words) - 1
     # Hash of all bytes, to see where a group is already settled.
     whole = np.zeros(len(order), np.uint64)
-    for at in range(0, length, 8):
-        whole = mix(whole + words[np.minimum(order + min(at, length - 8), last)])
-    for at in range(8, length, 8):
-        bounds = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        low, high = np.minimum.reduceat(whole, bounds), np.maximum.reduceat(whole, bounds)
-        open_groups = low != high
-        if not open_groups.any():
+    for at, rows in _strings_at(data, order, length):
+        part = whole[at: at + len(rows)]
+        for column in rows.T:
+            part[:] = mix(part + column)
+    key, group = words[order], np.zeros(len(order), np.int64)
+    slots, last = np.arange(len(order)), len(words) - 1
+    for at in range(8, length + 8, 8):
+        fresh = np.ones(len(slots), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        group = np.cumsum(fresh) - 1
+        # Only groups with different strings go on.
+        mixed = np.zeros(len(group), bool)
+        mixed[group[1:][~fresh[1:] & (whole[1:] != whole[:-1])]] = True
+        going = mixed[group]
+        slots, group, whole = slots[going], group[going], whole[going]
+        if at >= length or not len(slots):
             break
-        sizes = np.diff(np.append(bounds, len(order)))
-        some = np.flatnonzero(np.repeat(open_groups, sizes))
-        key = words[np.minimum(order[some] + at, last)]
-        by = np.lexsort((key, group[some]))
-        order[some], whole[some], key = order[some][by], whole[some][by], key[by]
-        inner = np.zeros(len(order), np.int64)
-        step = np.zeros(len(some), np.int64)
-        step[1:] = (key[1:] != key[:-1]) & (group[some][1:] == group[some][:-1])
-        inner[some] = step
-        change = np.concatenate([[0], (group[1:] != group[:-1]).astype(np.int64)]) | inner
-        group = np.cumsum(change)
+        some = order[slots]
+        key = words[np.minimum(some + at, last)]
+        by = np.lexsort((key, group))
+        order[slots], whole, key = some[by], whole[by], key[by]
     return order
 
 
@@ -190,15 +202,11 @@ def sort_suffixes(data: np.ndarray, wanted: np.ndarray, length: int) -> np.ndarr
     total = len(data)
     if not len(wanted):
         return wanted
-    # Next different byte: small kind if larger; the end of the data counts as smallest.
-    change = np.flatnonzero(data[1:] != data[:-1])
-    run_end = np.full(total, total - 1, np.int64)
-    at = np.searchsorted(change, np.arange(total))
-    inside = at < len(change)
-    run_end[inside] = change[at[inside]]
-    small = np.zeros(total, bool)
-    follows = run_end < total - 1
-    small[follows] = data[run_end[follows] + 1] > data[run_end[follows]]
+    # Runs of one byte are of the small kind if the byte after them is larger; the end
+    # of the data counts as smallest.
+    first = np.flatnonzero(np.concatenate([[True], data[1:] != data[:-1]]))
+    rises = np.append(data[first[1:]] > data[first[:-1]], False)
+    small = np.repeat(rises, np.diff(np.append(first, total)))
     # A large suffix needs its successors up to the first small one.
     needed = np.zeros(total, bool)
     needed[wanted] = True
@@ -209,7 +217,7 @@ def sort_suffixes(data: np.ndarray, wanted: np.ndarray, length: int) -> np.ndarr
         needed[more] = True
         more = more[~small[more]] + 1
     words = _words(data)
-    direct = _direct_sort(np.flatnonzero(needed & small), words, length)
+    direct = _direct_sort(data, np.flatnonzero(needed & small), words, length)
     direct_first = np.searchsorted(data[direct], np.arange(257))
     queues: list[list[np.ndarray]] = [[] for _ in range(256)]
     if needed[total - 1]:  # its successor is the empty suffix, the smallest of all
@@ -244,26 +252,23 @@ def sort_suffixes(data: np.ndarray, wanted: np.ndarray, length: int) -> np.ndarr
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Common prefix of each suffix with the one before it in `order`, `length` at most."""
-    words = _words(data)
     out = np.zeros(len(order), np.int64)
-    alive, last = np.arange(1, len(order)), len(words) - 1
-    for at in range(0, length, 8):
-        one = words[np.minimum(order[alive] + at, last)]
-        two = words[np.minimum(order[alive - 1] + at, last)]
-        differ = one ^ two
-        equal = differ == 0
-        stop = ~equal
-        # Leading equal bytes of the first word that differs.
-        high = np.zeros(stop.sum(), np.int64)
-        rest = differ[stop]
-        for shift in (32, 16, 8):
-            big = rest >> np.uint64(shift) != 0
-            high[big] += shift
-            rest = np.where(big, rest >> np.uint64(shift), rest)
-        out[alive[stop]] = at + 7 - high // 8
-        alive = alive[equal]
-    out[alive] = length
-    return np.minimum(out, length)
+    before = None
+    for at, rows in _strings_at(data, order, length):
+        if before is not None:
+            rows, at = np.concatenate([before, rows]), at - 1
+        before = rows[-1:]
+        differ = rows[1:] != rows[:-1]
+        word = differ.argmax(axis=1)
+        pairs = np.arange(len(word))
+        unequal = differ[pairs, word]
+        pairs, word = pairs[unequal], word[unequal]
+        one, two = rows[pairs + 1, word], rows[pairs, word]
+        byte = (one[:, None].view(np.uint8) != two[:, None].view(np.uint8)).argmax(axis=1)
+        found = np.full(len(unequal), length, np.int64)
+        found[pairs] = word * 8 + byte
+        out[at + 1: at + len(rows)] = found
+    return out
 
 
 def repeated_starts(data, sizes, ids, starts, length) -> tuple[np.ndarray, np.ndarray]:
@@ -383,7 +388,8 @@ def _cut_texts(length):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
+                   hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Every document with its repeated strings taken out.
 
     A byte is removed if it is covered by a string of `length` bytes of the same
@@ -396,8 +402,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     text are one document and get one result each; texts that share an id are
     ordered by place alone. Other columns are ignored. An empty table gives none.
 
-    `length` has to be at least GRAM. Names with more than `hot` regions are not
-    gathered: their strings are compared by 128-bit hashes in an aggregate.
+    `length` has to be at least GRAM. Names with more than `hot` regions or `hot_bytes`
+    bytes of text are not gathered: their strings are compared by 128-bit hashes in an
+    aggregate.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
@@ -407,7 +414,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         _find_regions(length),
         "name long, k_id long, k_text long, start long, count int, times int",
     )
-    shared = regions.groupBy("name").agg(F.sum("times").alias("times"))
+    shared = regions.groupBy("name").agg(
+        F.sum("times").alias("times"), F.sum(F.col("count") + (length - 1)).alias("bytes"))
     shared = stage(shared.filter("times > 1"), "names")
     where = F.struct("name", "start", "count")
 
@@ -432,8 +440,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
         later = strings.join(first, ["one", "two"]).filter(F.struct("k_id", "start") > F.col("first"))
         return later.select(*key, "start", F.lit(1).cast("long").alias("count"))
 
-    runs = runs_of(shared.filter(F.col("times") <= hot), sorted_runs)
-    crowded = shared.filter(F.col("times") > hot)
+    gathered = (F.col("times") <= hot) & (F.col("bytes") <= hot_bytes)
+    runs = runs_of(shared.filter(gathered), sorted_runs)
+    crowded = shared.filter(~gathered)
     if not crowded.isEmpty():
         runs = runs.unionByName(runs_of(crowded, hashed_runs))
     runs = runs.groupBy(*key).agg(F.collect_list(F.struct("start", "count")).alias("runs"))
