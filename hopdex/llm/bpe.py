@@ -11,6 +11,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -172,7 +173,7 @@ class _Encoder:
             known.pop(word, None)
 
 
-def _encode(vocabulary_text):
+def _encode(vocabulary_text, with_ids):
     def run(batches):
         key = hashlib.sha256(vocabulary_text.value.encode()).hexdigest()
         if key not in _LOADED:
@@ -181,15 +182,22 @@ def _encode(vocabulary_text):
         for batch in slices(batches):
             raw = batch.column("text").cast(pa.binary()).to_pylist()
             texts = [(value or b"").decode("utf-8", "replace") for value in raw]
-            counts, id_hashes, decoded = [], [], []
+            counts, id_hashes, decoded, numbers = [], [], [], []
             for ids, back in encoder.encode(texts):
                 counts.append(ids.count(",") + 1 if ids else 0)
                 id_hashes.append(hashlib.sha256(ids.encode()).hexdigest())
                 decoded.append(back.decode("utf-8", "replace"))
-            yield pa.record_batch({
+                if with_ids:
+                    numbers.append(np.array(ids.split(","), np.int32) if ids else np.zeros(0, np.int32))
+            columns = {
                 "doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(id_hashes, pa.string()), "decoded": pa.array(decoded, pa.large_string()),
-            }).cast(_OUT)
+            }
+            schema = _OUT
+            if with_ids:
+                columns["ids"] = pa.array(numbers, pa.list_(pa.int32()))
+                schema = schema.append(pa.field("ids", pa.list_(pa.int32())))
+            yield pa.record_batch(columns).cast(schema)
     return run
 
 
@@ -198,20 +206,21 @@ _OUT = pa.schema([
 ])
 
 
-def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
     """Token counts, a digest of the token ids and the decoded text of every document.
 
     `vocabulary` is the path of a byte-level BPE file, read on the driver and sent to
     the tasks; its size is that of the file. Special tokens' strings in a text become
     their ids. Returns doc_id, n_tokens, ids_sha256 (of the decimal ids joined by
-    commas) and decoded. A null or empty text has no tokens; nulls in other columns,
+    commas) and decoded, and with `with_ids` the token ids as an array. A null or empty text has no tokens; nulls in other columns,
     repeated rows and ids change nothing; other columns are ignored; an empty table
     gives none. Needs no shuffle.
     """
     with open(vocabulary, encoding="utf-8") as file:
         text = docs.sparkSession.sparkContext.broadcast(file.read())
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        _encode(text), "doc_id long, n_tokens long, ids_sha256 string, decoded string"
+        _encode(text, with_ids),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded string" + (", ids array<int>" if with_ids else ""),
     )
 
 

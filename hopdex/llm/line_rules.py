@@ -77,15 +77,15 @@ def base_measures(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
-    """A row for each distinct normalised line of a document: its hash, host and words.
+def _normal(text: Column) -> Column:
+    """Lines in lower case, digits alike, runs of white space as one blank."""
+    spaced = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
+    return F.translate(spaced, "0123456789", "0000000000")
 
-    Lines are compared in lower case, digits alike, runs of white space as one blank.
-    `words` counts all occurrences in the document.
-    """
-    text = F.regexp_replace(F.lower("text"), r"[\x20\x09\x0B-\x0D]+", " ")
-    text = F.translate(text, "0123456789", "0000000000")
-    lines = docs.select(*_KEY, F.explode(F.split(text, "\n")).alias("_line"))
+
+def line_rows(docs: DataFrame) -> DataFrame:
+    """A row for each normalised line of a document: its hash, host and words."""
+    lines = docs.select(*_KEY, F.explode(F.split(_normal(F.col("text")), "\n")).alias("_line"))
     lines = lines.select(*_KEY, F.trim("_line").alias("_line")).filter("_line <> ''")
     words = F.char_length("_line") - F.char_length(F.translate("_line", " ", "")) + 1
     return lines.select(*_KEY, F.xxhash64("_line").alias("line"), words.cast("long").alias("words"))
@@ -94,6 +94,53 @@ def line_rows(docs: DataFrame) -> DataFrame:
 _KEY = ["k_host", "k_id", "k_text"]
 
 
+def _hosted(docs: DataFrame, host: str) -> DataFrame:
+    """doc_id, text and the keys of a document."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(
+        F.col("doc_id"), text.alias("text"), F.coalesce(F.col(host), F.lit("")).alias("k_host"),
+        F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), F.xxhash64(text).alias("k_text"),
+    )
+
+
+def _frequent(lines: DataFrame, most_docs: int) -> DataFrame:
+    """(k_host, line) of the lines found in more than `most_docs` documents of a host."""
+    # Distinct documents first, so that neither a copy nor a line gathers in one task.
+    return (
+        lines.select("k_host", "line", "k_id", "k_text").distinct()
+        .groupBy("k_host", "line").agg(F.count("*").alias("n"))
+        .filter(F.col("n") > most_docs).select("k_host", "line")
+    )
+
+
+def drop_frequent_lines(docs: DataFrame, host: str = "source", most_docs: int = MOST_DOCS) -> DataFrame:
+    """Every document without its frequent lines.
+
+    Lines, split at line feeds, that after normalising are found in more than `most_docs`
+    documents of the same host are taken out; all others stay as they were written,
+    blank ones included. Returns doc_id, text, n_lines and n_removed. A null text is
+    empty; a null host is one host; a null id is one document per text; a repeated row
+    gets the same result again; an empty table gives none. Other columns are ignored.
+    """
+    docs = _hosted(docs, host)
+    lines = line_rows(docs)
+    found = lines.select(*_KEY, "line").distinct().join(_frequent(lines, most_docs), ["k_host", "line"])
+    found = found.groupBy(*_KEY).agg(F.collect_set("line").alias("_gone"))
+    written = F.split("text", "\n")
+    named = F.transform(F.split(_normal(F.col("text")), "\n"), lambda line: F.trim(line))
+    marked = F.zip_with(written, named, lambda line, name: F.struct(
+        line.alias("line"), ((name != "") & F.array_contains("_gone", F.xxhash64(name))).alias("gone")))
+    cut = docs.join(found, _KEY, "left").select(
+        "doc_id", F.when(F.col("_gone").isNull(), F.transform(written, lambda line: F.struct(
+            line.alias("line"), F.lit(False).alias("gone")))).otherwise(marked).alias("_lines"))
+    left = F.transform(F.filter("_lines", lambda x: ~x["gone"]), lambda x: x["line"])
+    return cut.select(
+        "doc_id", F.array_join(left, "\n").alias("text"),
+        F.size("_lines").cast("long").alias("n_lines"),
+        (F.size("_lines") - F.size(left)).cast("long").alias("n_removed"),
+    )
+
+
 def rate_documents(docs: DataFrame, host: str = "source", most_docs: int = MOST_DOCS,
                    least_left: float = LEAST_LEFT) -> DataFrame:
     """Counts and a verdict for every document.
@@ -110,18 +157,9 @@ def rate_documents(docs: DataFrame, host: str = "source", most_docs: int = MOST_
     once and gets the same result again. Other columns are ignored; an empty table
     gives none.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    docs = docs.select(F.col("doc_id"), text.alias("text"), F.col(host).alias("k_host")).select(
-        "doc_id", "text", F.coalesce("k_host", F.lit("")).alias("k_host"),
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("k_id"), F.xxhash64("text").alias("k_text"),
-    )
+    docs = _hosted(docs, host)
     lines = line_rows(docs)
-    # Distinct documents first, so that neither a copy nor a line gathers in one task.
-    frequent = (
-        lines.select("k_host", "line", "k_id", "k_text").distinct()
-        .groupBy("k_host", "line").agg(F.count("*").alias("n"))
-        .filter(F.col("n") > most_docs).select("k_host", "line")
-    )
+    frequent = _frequent(lines, most_docs)
     # A repeated row would count its lines twice: its rows agree, so one average is right.
     per_line = lines.join(frequent, ["k_host", "line"])
     removed = per_line.groupBy(*_KEY).agg(F.sum("words").alias("removed_words"))

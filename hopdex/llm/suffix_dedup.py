@@ -34,7 +34,9 @@ BLOCK = 2 << 20
 # Names with more regions, or more bytes of text, go another way, which does not gather
 # them in a task.
 HOT = 50_000
-HOT_BYTES = 8 << 20
+HOT_BYTES = 12 << 20
+# Bytes of a region are counted up to whole units: nearly all are one, which packs well.
+UNIT = 256
 CHUNK = 1 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -415,7 +417,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
         "name long, k_id long, k_text long, start long, count int, times int",
     )
     shared = regions.groupBy("name").agg(
-        F.sum("times").alias("times"), F.sum(F.col("count") + (length - 1)).alias("bytes"))
+        F.sum("times").alias("times"), F.sum(F.ceil((F.col("count") + (length - 1)) / UNIT)).alias("units"))
     shared = stage(shared.filter("times > 1"), "names")
     where = F.struct("name", "start", "count")
 
@@ -440,7 +442,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
         later = strings.join(first, ["one", "two"]).filter(F.struct("k_id", "start") > F.col("first"))
         return later.select(*key, "start", F.lit(1).cast("long").alias("count"))
 
-    gathered = (F.col("times") <= hot) & (F.col("bytes") <= hot_bytes)
+    gathered = (F.col("times") <= hot) & (F.col("units") * UNIT <= hot_bytes)
     runs = runs_of(shared.filter(gathered), sorted_runs)
     crowded = shared.filter(~gathered)
     if not crowded.isEmpty():

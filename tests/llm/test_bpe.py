@@ -39,8 +39,17 @@ def test_documents(spark):
     assert found == sorted(expected, key=repr)
 
 
+def test_ids_of_a_table(spark):
+    library = Tokenizer.from_file(PATH)
+    rows = [(i, t) for i, t in enumerate(odd_texts())] + [(None, "null id"), (7, None), (8, "again"), (8, "again")]
+    found = rows_of(encode_documents(documents(spark, rows), PATH, with_ids=True), "doc_id", "ids")
+    expected = [(doc, library.encode(text or "", add_special_tokens=False).ids) for doc, text in rows]
+    assert found == sorted(expected, key=repr)
+
+
 def test_empty_table(spark):
-    assert encode_documents(documents(spark, []), PATH).collect() == []
+    for with_ids in (False, True):
+        assert encode_documents(documents(spark, []), PATH, with_ids).collect() == []
 
 
 def test_trie_walk_equals_the_definition():

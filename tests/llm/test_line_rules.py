@@ -2,21 +2,29 @@ import re
 
 from helpers import documents, rows_of
 
-from hopdex.llm.line_rules import rate_documents
+from hopdex.llm.line_rules import drop_frequent_lines, rate_documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def brute(rows, most_docs, least_left=0.3):
-    def lines(text):
-        norm = re.sub(r"[\x20\x09\x0B-\x0D]+", " ", (text or "").lower())
-        norm = re.sub(r"[0-9]", "0", norm)
-        return [x.strip(" ") for x in norm.split("\n") if x.strip(" ")]
+def normal(line):
+    return re.sub(r"[0-9]", "0", re.sub(r"[\x20\x09\x0B-\x0D]+", " ", line.lower())).strip(" ")
+
+
+def lines(text):
+    return [x for x in map(normal, (text or "").split("\n")) if x]
 
+
+def holders_of(rows):
     holders = {}
     for doc, text, host in {(d, t, s) for d, t, s in rows}:
         for line in set(lines(text)):
             holders.setdefault((host, line), set()).add((doc, text))
+    return holders
+
+
+def brute(rows, most_docs, least_left=0.3):
+    holders = holders_of(rows)
     out = []
     for doc, text, host in rows:
         words = WORD.findall(text or "")
@@ -54,5 +62,20 @@ def test_matches_brute_force(spark):
     assert any(not r[6] and not r[7] for r in found)  # the method rejects on its own
 
 
+def test_texts_without_frequent_lines(spark):
+    rows = corpus()
+    holders = holders_of(rows)
+    expected = []
+    for doc, text, host in rows:
+        own = (text or "").split("\n")
+        left = [x for x in own if not normal(x) or len(holders[host, normal(x)]) <= 4]
+        expected.append((doc, "\n".join(left), len(own), len(own) - len(left)))
+    docs = documents(spark, [(d, t, None, s) for d, t, s in rows])
+    found = rows_of(drop_frequent_lines(docs, most_docs=4), "doc_id", "text", "n_lines", "n_removed")
+    assert found == sorted(expected, key=repr)
+    assert sum(r[3] for r in found) > 30 and any(r[1] and r[3] for r in found)
+
+
 def test_empty_table(spark):
+    assert drop_frequent_lines(documents(spark, [])).collect() == []
     assert rate_documents(documents(spark, [])).collect() == []

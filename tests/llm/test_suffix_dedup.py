@@ -62,7 +62,7 @@ def test_matches_brute_force(spark):
 def test_crowded_names_give_the_same(spark):
     rows = corpus()
     assert result(spark, rows, hot=3) == brute(rows)
-    assert result(spark, rows, hot_bytes=500) == brute(rows)
+    assert result(spark, rows, hot_bytes=700) == brute(rows)
 
 
 def test_other_length(spark):
