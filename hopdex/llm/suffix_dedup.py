@@ -31,12 +31,9 @@ GRAM = 16
 REGION = 1 << 16
 # Bytes of text that one sort looks at, and what is left of its last name.
 BLOCK = 2 << 20
-# Names with more regions, or more bytes of text, go another way, which does not gather
-# them in a task.
+# Names with a larger load go another way, which does not gather them in a task. The load
+# of a region is one for every two lengths of text, so it bounds regions and bytes.
 HOT = 50_000
-HOT_BYTES = 12 << 20
-# Bytes of a region are counted up to whole units: nearly all are one, which packs well.
-UNIT = 256
 CHUNK = 1 << 20
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
@@ -106,9 +103,11 @@ def _find_regions(length):
             row = np.searchsorted(offsets[1:], starts, side="right")
             ids = batch.column("k_id").to_numpy()[row]
             texts = batch.column("k_text").to_numpy()[row]
+            # A region with one occurrence of its name is shorter than two lengths: load one.
+            load = np.maximum(1 + twice, -(-(counts + length - 1) // (2 * length)))
             yield pa.record_batch({
                 "name": names, "k_id": ids, "k_text": texts, "start": starts - offsets[row],
-                "count": counts.astype(np.int32), "times": 1 + twice.astype(np.int32),
+                "count": counts.astype(np.int32), "load": load.astype(np.int32),
             })
     return run
 
@@ -390,8 +389,7 @@ def _cut_texts(length):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
-                   hot_bytes: int = HOT_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """Every document with its repeated strings taken out.
 
     A byte is removed if it is covered by a string of `length` bytes of the same
@@ -404,9 +402,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
     text are one document and get one result each; texts that share an id are
     ordered by place alone. Other columns are ignored. An empty table gives none.
 
-    `length` has to be at least GRAM. Names with more than `hot` regions or `hot_bytes`
-    bytes of text are not gathered: their strings are compared by 128-bit hashes in an
-    aggregate.
+    `length` has to be at least GRAM. Names with more than `hot` regions, or with so much
+    text that it is more than `hot` times two lengths, are not gathered: their strings
+    are compared by 128-bit hashes in an aggregate.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
@@ -414,16 +412,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
     key = ["k_id", "k_text"]
     regions = docs.select("k_id", "k_text", "text").mapInArrow(
         _find_regions(length),
-        "name long, k_id long, k_text long, start long, count int, times int",
+        "name long, k_id long, k_text long, start long, count int, load int",
     )
-    shared = regions.groupBy("name").agg(
-        F.sum("times").alias("times"), F.sum(F.ceil((F.col("count") + (length - 1)) / UNIT)).alias("units"))
-    shared = stage(shared.filter("times > 1"), "names")
+    shared = regions.groupBy("name").agg(F.sum("load").alias("load"))
+    shared = stage(shared.filter("load > 1"), "names")
     where = F.struct("name", "start", "count")
 
     def runs_of(names: DataFrame, path) -> DataFrame:
         lists = (
-            regions.drop("times").join(names.select("name"), "name")
+            regions.drop("load").join(names.select("name"), "name")
             .groupBy(*key).agg(F.collect_set(where).alias("regions"))
         )
         return path(docs.join(lists, key).mapInArrow(
@@ -442,9 +439,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT,
         later = strings.join(first, ["one", "two"]).filter(F.struct("k_id", "start") > F.col("first"))
         return later.select(*key, "start", F.lit(1).cast("long").alias("count"))
 
-    gathered = (F.col("times") <= hot) & (F.col("units") * UNIT <= hot_bytes)
-    runs = runs_of(shared.filter(gathered), sorted_runs)
-    crowded = shared.filter(~gathered)
+    runs = runs_of(shared.filter(F.col("load") <= hot), sorted_runs)
+    crowded = shared.filter(F.col("load") > hot)
     if not crowded.isEmpty():
         runs = runs.unionByName(runs_of(crowded, hashed_runs))
     runs = runs.groupBy(*key).agg(F.collect_list(F.struct("start", "count")).alias("runs"))

@@ -62,7 +62,12 @@ def test_matches_brute_force(spark):
 def test_crowded_names_give_the_same(spark):
     rows = corpus()
     assert result(spark, rows, hot=3) == brute(rows)
-    assert result(spark, rows, hot_bytes=700) == brute(rows)
+
+
+def test_a_long_region_counts_by_its_text(spark):
+    # One region of one letter: few regions, much text.
+    rows = [(1, "a" * 5000), (2, "a" * 4000 + "b"), (3, "c" * 150)]
+    assert result(spark, rows, hot=10) == brute(rows)
 
 
 def test_other_length(spark):
