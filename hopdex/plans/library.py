@@ -10,7 +10,7 @@ from pyspark.sql.types import BinaryType
 from hopdex.functions.text import collapse_ws, letter_of, term_counts, tokenize
 from hopdex.functions.urls import host_of, normalize_url
 from hopdex.operators import crawl as walk
-from hopdex.operators import index, search, status
+from hopdex.operators import blocks, index, refetch, search, status
 from hopdex.operators.extract import MAX_BODY_BYTES, edges, parse_html_pages, parse_responses
 from hopdex.operators.joins import newest
 from hopdex.operators.upsert import mark_interrupted, upsert
@@ -471,6 +471,58 @@ def search_stored_index(spark, folder):
     return _bigints(search.search_default(asked, store.read("postings"), pages, found))
 
 
+@query
+def search_posting_blocks(spark, folder):
+    """Default search over blocks of postings; only blocks are shuffled, pages go by number."""
+    queries, pages, found = _search_inputs(spark, folder)
+    asked = queries.filter("sort_by = 'default'")
+    return _bigints(blocks.search_blocks(asked, blocks.index_blocks(pages, found)))
+
+
+@query
+def posting_block_layout(spark, folder):
+    """Blocks of the documents' words, a word's blocks put side by side again."""
+    pages = corpus.document_pages(spark, folder)
+    index_ = blocks.index_blocks(pages, pages.select(
+        F.lit("j").alias("job_id"), "url", F.col("url").alias("origin_url"), F.lit(0).alias("depth")))
+    entries = F.col("entries")
+    return index_.blocks.groupBy("term").agg(
+        F.sum(F.size(entries)).alias("n_pages"),
+        F.sum(F.aggregate(entries, F.lit(0).cast("bigint"), lambda a, e: a + e["frequency"])).alias("frequency"),
+        F.sum(F.aggregate(entries, F.lit(0).cast("bigint"), lambda a, e: a + e["title_hits"])).alias("title_hits"),
+    )
+
+
+# -- pages fetched anew ------------------------------------------------------
+
+def _fetched_anew(spark, folder):
+    """All pages, and about a third of them with another text and title."""
+    pages = corpus.fetched_pages(spark, folder)
+    anew = pages.filter(F.length("url") % 3 == 0).withColumns({
+        "text": F.concat(F.coalesce("title", F.lit("")), F.lit(" fetched anew "), F.substring("text", 1, 200)),
+        "title": F.concat(F.lit("Anew "), F.coalesce("title", F.lit(""))),
+    })
+    return pages, anew
+
+
+@query
+def refetch_postings(spark, folder):
+    """Postings after pages came again, by signed changes; equal to a rebuild."""
+    pages, anew = _fetched_anew(spark, folder)
+    changes = stage(refetch.posting_changes(pages, anew), "changes")
+    return _bigints(refetch.change_postings(stage(index.build_postings(pages), "postings"), changes))
+
+
+@query
+def refetch_word_entries(spark, folder):
+    """The same for the word entries of all jobs."""
+    pages, anew = _fetched_anew(spark, folder)
+    found = stage(corpus.host_discoveries(spark, folder), "discoveries")
+    changes = stage(refetch.posting_changes(pages, anew), "changes")
+    entries = stage(index.build_word_entries(pages, found), "entries")
+    return _bigints(refetch.change_entries(entries, refetch.entry_changes(changes, found)))
+
+
 # -- keyed writes ------------------------------------------------------------
 
 @query

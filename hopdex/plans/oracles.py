@@ -108,6 +108,15 @@ exact AS (
   FROM asked JOIN entries ON term = word JOIN parsed USING (url) GROUP BY query_id, url, origin_url, depth, title
 )"""
 
+# A third of the pages with the text and title of a second fetch.
+ANEW = PARSED + """,
+anew AS (
+  SELECT url, CASE WHEN length(url) % 3 = 0
+      THEN coalesce(title, '') || ' fetched anew ' || left(text, 200) ELSE text END AS text,
+    CASE WHEN length(url) % 3 = 0 THEN 'Anew ' || coalesce(title, '') ELSE title END AS title
+  FROM parsed
+)"""
+
 OUTCOMES = RAW + """,
 outcomes AS (
   SELECT url, html LIKE '%</html>' AS good,
@@ -278,6 +287,17 @@ FROM (SELECT *, 'default' AS sort_by FROM plain UNION ALL SELECT *, 'relevance'
 SELECT query_id, json_object('url', relevant_url, 'relevant_url', relevant_url, 'origin_url', origin_url,
   'depth', depth, 'frequency', frequency, 'score', score, 'title', title)::VARCHAR AS result FROM plain"""),
     "search_stored_index": _with(SEARCH, "SELECT * FROM plain"),
+    "search_posting_blocks": _with(SEARCH, "SELECT * FROM plain"),
+    "posting_block_layout": _with("""
+docs AS (SELECT 'doc:' || doc_id AS url, split_part(text, chr(10), 1) AS title, text FROM documents)"""
+                                  + "," + _postings("docs"), """
+SELECT term, count(*) AS n_pages, sum(frequency)::BIGINT AS frequency, sum(title_hits)::BIGINT AS title_hits
+FROM postings GROUP BY term"""),
+    "refetch_postings": _with(ANEW + "," + _postings("anew"), "SELECT * FROM postings"),
+    "refetch_word_entries": _with(ANEW + "," + DISCOVERIES, f"""
+SELECT term AS word, url, origin_url, depth::BIGINT AS depth, n AS frequency
+FROM (SELECT url, term, count(*) AS n FROM ({_words('anew', 'url', 'text')}) GROUP BY ALL)
+JOIN (SELECT DISTINCT url, origin_url, depth FROM discoveries) USING (url)"""),
     "page_upsert": _with(RAW, """
 SELECT 'http://' || regexp_extract(url, '^https?://([^/:?#]*)', 1) || '/' AS url, url AS title, page_id,
   length(html) AS n_chars FROM raw
