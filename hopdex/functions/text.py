@@ -41,6 +41,24 @@ def letter_of(word: Column) -> Column:
     return F.coalesce(F.nullif(F.lower(F.left(word, F.lit(1))), F.lit("")), F.lit("_"))
 
 
+_DAY = 86_400_000_000
+
+
+def utc_iso(at: Column) -> Column:
+    """ISO 8601 text of a timestamp in UTC, microseconds only where there are some.
+
+    Reckoned from the microseconds since 1970, so that the session's time zone has no part in it.
+    """
+    micros = F.unix_micros(at)
+    inside = F.pmod(micros, F.lit(_DAY))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), ((micros - inside) / _DAY).cast("int"))
+    seconds, fraction = F.floor(inside / 1_000_000), F.pmod(inside, F.lit(1_000_000))
+    clock = F.format_string(
+        "T%02d:%02d:%02d", F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60)
+    part = F.when(fraction == 0, "").otherwise(F.format_string(".%06d", fraction))
+    return F.when(at.isNotNull(), F.concat(day.cast("string"), clock, part, F.lit("+00:00")))
+
+
 def let(value: Column, body) -> Column:
     """Bind `value` to a lambda variable so that it is evaluated once.
 

@@ -1,13 +1,14 @@
 """The queries, by name. Each takes (spark, folder) and returns a DataFrame."""
 
 import gzip
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from hopdex.functions.text import collapse_ws, letter_of, term_counts, tokenize
+from hopdex.functions.text import collapse_ws, letter_of, term_counts, tokenize, utc_iso
 from hopdex.functions.urls import host_of, normalize_url
 from hopdex.operators import crawl as walk
 from hopdex.operators import blocks, index, refetch, search, status
@@ -658,6 +659,15 @@ def log_append(spark, folder):
         F.count_if(F.col("message") == "error").alias("n_errors"))
 
 
+@query
+def log_times(spark, folder):
+    """Times of the log lines as UTC text, also a millisecond and a microsecond part of them."""
+    logs = corpus.event_logs(spark, folder)
+    odd = F.when(F.col("id") % 3 == 0, F.col("id") % 1000 * 1000).when(F.col("id") % 3 == 1, 7).otherwise(0)
+    at = F.timestamp_micros(F.unix_micros(F.date_trunc("second", "logged_at")) + odd)
+    return logs.select("id", utc_iso(at).alias("logged_at"))
+
+
 @query
 def job_lookup(spark, folder):
     """One live order and its place among live and stored jobs."""
@@ -781,6 +791,18 @@ def store_recover_then_stream(spark, folder):
         "job_id", "status", F.coalesce("n_entries", F.lit(0)).alias("n_entries"))
 
 
+@query
+def store_two_writers(spark, folder):
+    """Two writers at the same time, each with half of the origins; no entry of either is lost."""
+    store = IndexStore(spark, shared_folder(spark, "store"))
+    entries = stage(_entries(spark, folder), "entries")
+    with ThreadPoolExecutor(2) as writers:
+        parts = [entries.filter(F.length("origin_url") % 2 == part) for part in range(2)]
+        for done in [writers.submit(store.add, word_entries=part) for part in parts]:
+            done.result()
+    return _bigints(store.read("word_entries"))
+
+
 @query
 def job_run(spark, folder):
     """Every page as the origin of a one-hop job, run over the store to its end."""

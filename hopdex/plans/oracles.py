@@ -373,6 +373,11 @@ FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'created' WHEN 'purchase' THE
     "store_compact_then_stream": _with(PARSED + "," + _postings("answered"), "SELECT * FROM postings"),
     "store_late_job": _with(ENTRIES, """
 SELECT * FROM entries WHERE url IN (SELECT url FROM answered)"""),
+    "store_two_writers": _with(ENTRIES, "SELECT *, left(word, 1) AS letter FROM entries"),
+    "log_times": """
+SELECT event_id AS id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || CASE event_id % 3
+  WHEN 0 THEN CASE WHEN event_id % 1000 = 0 THEN '' ELSE printf('.%06d', event_id % 1000 * 1000) END
+  WHEN 1 THEN '.000007' ELSE '' END || '+00:00' AS logged_at FROM events""",
     "store_recover_then_stream": _with(ENTRIES, """
 SELECT DISTINCT job_id, 'interrupted' AS status, coalesce(n, 0) AS n_entries FROM discoveries
 LEFT JOIN (SELECT origin_url, count(*) AS n FROM entries WHERE url IN (SELECT url FROM answered) GROUP BY ALL)

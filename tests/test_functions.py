@@ -1,11 +1,12 @@
 import random
 import re
 from collections import Counter
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from hopdex.functions.text import collapse_ws, field_counts, letter_of, term_counts, tokenize
+from hopdex.functions.text import collapse_ws, field_counts, letter_of, term_counts, tokenize, utc_iso
 from hopdex.functions.urls import canonical_url, normalize_url, page_links
 
 ABSOLUTE = [
@@ -143,3 +144,17 @@ def test_whitespace_and_letters(spark):
     rows = spark.createDataFrame([(" a \n b　c\x1c ", "Zed"), ("", ""), ("x", "9x")], "s string, w string")
     out = rows.select(collapse_ws(F.col("s")).alias("s"), letter_of(F.col("w")).alias("l")).collect()
     assert [(r.s, r.l) for r in out] == [("a b c", "z"), ("", "_"), ("x", "9")]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_as_utc_text(spark, zone):
+    moments = [0, 7, -1, 1_000_000, 1_704_067_200_123_000, 1_699_163_999_999_999, -86_400_000_000, None]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(m,) for m in moments], "m long")
+        got = [r[0] for r in df.select(utc_iso(F.timestamp_micros("m"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    start = datetime(1970, 1, 1, tzinfo=UTC)
+    assert got == [None if m is None else (start + timedelta(microseconds=m)).isoformat() for m in moments]
