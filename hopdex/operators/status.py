@@ -114,6 +114,24 @@ def backpressure_recent(events: DataFrame, message: str, asof: Column | None = N
     return per_job.filter("last_at IS NOT NULL").select("job_id", "last_at", fresh.alias("active"))
 
 
+def pressure_sessions(events: DataFrame, message: str) -> DataFrame:
+    """The times in which jobs are under back-pressure, from tables and streams alike.
+
+    One row (job_id, active_from, active_until, n_events) for events of the class with
+    under two seconds between them: a job is active from the first one until two
+    seconds after the last. Events are merged in each task before they are shuffled. A
+    stream has to have a watermark on `logged_at`; it gives a row when that has come to
+    the row's end, moved on by events of any class and job.
+    """
+    gap = F.session_window("logged_at", f"{RECENT_SECONDS} seconds")
+    # A condition on the time itself stays behind the watermark, which then sees all events.
+    pressed = F.when(F.col("message") == message, F.col("logged_at")).isNotNull()
+    merged = events.filter(pressed).groupBy("job_id", gap.alias("session")).agg(
+        F.count("*").alias("n_events"))
+    return merged.select(
+        "job_id", F.col("session.start").alias("active_from"), F.col("session.end").alias("active_until"), "n_events")
+
+
 def recent_logs(logs: DataFrame, rows: int = LOG_VIEW_ROWS) -> DataFrame:
     """The last `rows` entries of every job with their place, oldest first.
 

@@ -149,7 +149,11 @@ def line_discoveries(spark: SparkSession, folder: str) -> DataFrame:
 
 def event_logs(spark: SparkSession, folder: str) -> DataFrame:
     """Events as job logs: the user is the job, the event type is the message."""
-    return table(spark, folder, "events").select(
+    return as_logs(table(spark, folder, "events"))
+
+
+def as_logs(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").alias("id"),
         F.col("user_id").cast("string").alias("job_id"),
         F.col("ts").alias("logged_at"),

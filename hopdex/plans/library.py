@@ -365,8 +365,8 @@ def word_entry_upsert(spark, folder):
     held = entries.filter(F.startswith("origin_url", F.lit("http://")))
     stale = F.when(F.startswith("word", F.lit("a")), F.col("frequency") + 1)
     held = held.withColumn("frequency", F.coalesce(stale, F.col("frequency")))
-    store.add(word_entries=held)
-    store.add(word_entries=index.changed_entries(entries, store.read("word_entries")))
+    store.insert("word_entries", held)
+    store.upsert("word_entries", index.changed_entries(entries, store.read("word_entries")))
     return _bigints(store.read("word_entries"))
 
 
@@ -375,7 +375,7 @@ def word_entries_rebuild(spark, folder):
     """A store rebuilt from pages and discoveries replaces what it held before."""
     store = IndexStore(spark, shared_folder(spark, "store"))
     entries = stage(_entries(spark, folder), "entries")
-    store.add(word_entries=entries.withColumn("frequency", F.lit(-1)))
+    store.insert("word_entries", entries.withColumn("frequency", F.lit(-1)))
     store.replace("word_entries", entries)
     return _bigints(store.read("word_entries"))
 
@@ -653,7 +653,7 @@ def log_append(spark, folder):
     store = IndexStore(spark, shared_folder(spark, "store"))
     logs = corpus.event_logs(spark, folder)
     for part in range(3):
-        store.add(logs=logs.filter(F.col("id") % 3 == part))
+        store.insert("logs", logs.filter(F.col("id") % 3 == part))
     return store.read("logs").groupBy("job_id").agg(
         F.count("*").alias("n_lines"), F.max("id").alias("last_id"),
         F.count_if(F.col("message") == "error").alias("n_errors"))
@@ -798,7 +798,7 @@ def store_two_writers(spark, folder):
     entries = stage(_entries(spark, folder), "entries")
     with ThreadPoolExecutor(2) as writers:
         parts = [entries.filter(F.length("origin_url") % 2 == part) for part in range(2)]
-        for done in [writers.submit(store.add, word_entries=part) for part in parts]:
+        for done in [writers.submit(store.insert, "word_entries", part) for part in parts]:
             done.result()
     return _bigints(store.read("word_entries"))
 
@@ -831,3 +831,15 @@ def stream_event_counters(spark, folder):
     ingest.counter_stream(events, sink, shared_folder(spark, "offsets")).awaitTermination()
     updates = spark.read.parquet(f"{where}/*")
     return updates.groupBy("job_id", "message").agg(F.max_by("events", "batch").alias("events"))
+
+
+@query
+def stream_pressure_sessions(spark, folder):
+    """Error events streamed into the times of back-pressure that have ended, a minute of lateness allowed."""
+    where = shared_folder(spark, "sessions")
+    schema = corpus.table(spark, folder, "events").schema
+    source = corpus.as_logs(tables.stream_of_table(spark, folder, "events", schema))
+    events = source.withColumn("logged_at", F.col("logged_at").cast("timestamp"))
+    ingest.session_stream(events, "error", where, shared_folder(spark, "offsets"), "60 seconds").awaitTermination()
+    ended = spark.read.parquet(where)
+    return ended.select("job_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("active_from", "active_until")], "n_events")

@@ -1,23 +1,27 @@
-"""The index store: keyed tables kept as parquet writes, and a log of commits.
-
-A write is a folder `<table>/write=<id>` (postings and word entries below it by
-`letter=`) under a name that no other write has. A commit is one small file,
-`commits/<version>.json`, that lists the writes that make up every table from then on.
-It is put in place by a rename that fails if the version exists, so of two writers one
-wins and the other starts again from the newer state. Readers see the last commit: a
-half-made write is invisible, and nothing committed is ever written over.
+"""The index store: keyed tables as folders of Parquet that Spark writes and lists.
+
+A folder is `<table>/[letter=<l>/]gen=<n>/write=<name>`. An insert adds a folder `write=` to
+the generation that a letter has. An upsert or a rewrite puts the letters it touches, and
+no others, into a new generation. Of every letter the newest generation counts, and no key
+occurs twice in it, so that a read is a plain scan. Tables without letters are one part.
+
+By contract one writer at a time changes keys that are there; inserts of different keys may
+go on side by side. A read lists the table when it is made and keeps what it found: nothing
+listed is written over, but by a batch that is run again under its name. Older generations
+stay until they are cleaned, as no reader is known to have ended.
 """
 
-import json
+import re
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hopdex.operators.index import with_letter
+from hopdex.operators.joins import drop_known, only_keys
 from hopdex.schemas import (
     DISCOVERIES, JOB_LOGS, JOBS, PAGES, POSTINGS, WORD_ENTRIES, WORD_ENTRY_KEY,
 )
@@ -34,171 +38,130 @@ TABLES = {
 }
 
 
-@dataclass
-class State:
-    """What one commit lists.
+class IndexStore:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
 
-    tables: per table its writes, oldest first, each [id, fresh]; a fresh write has
-    no key that an earlier one has. streams: per stream the last batch that is in.
-    """
+    def folders(self, table: str) -> dict[str, tuple[int, list[str]]]:
+        """Per letter its newest generation and the folders of it; the letter is empty where there are none."""
+        try:
+            listed = self.spark.read.schema(self._stored(table)).parquet(f"{self.root}/{table}").inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        found: dict[str, tuple[int, list[str]]] = {}
+        inside = re.compile(r"/((?:letter=([^/]*)/)?gen=(\d+)/write=[^/]*)/[^/]*$")
+        for folder, letter, number in sorted({inside.search(unquote(f)).groups() for f in listed}, key=str):
+            letter, number = letter or "", int(number)
+            newest, folders = found.get(letter, (-1, []))
+            if number > newest:
+                found[letter] = number, [folder]
+            elif number == newest:
+                folders.append(folder)
+        return found
+
+    def holds(self, table: str, name: str) -> bool:
+        """Whether rows of the write of this name count in the table."""
+        ending = f"write={name}"
+        return any(f.endswith(ending) for _, folders in self.folders(table).values() for f in folders)
 
-    version: int = -1
-    tables: dict[str, list] = field(default_factory=dict)
-    streams: dict[str, int] = field(default_factory=dict)
+    # -- reading -------------------------------------------------------------
 
-    def writes(self, table: str) -> list:
-        return self.tables.get(table, [])
+    def _stored(self, table: str) -> T.StructType:
+        schema, _, word = TABLES[table]
+        parts = [T.StructField(c, T.StringType()) for c in ([*["letter"] * bool(word), "gen", "write"])]
+        return T.StructType(schema.fields + parts)
 
+    def read(self, table: str, letters: list[str] | None = None) -> DataFrame:
+        """The rows of a table as it is now, or of some letters; without a shuffle.
 
-class Conflict(Exception):
-    """Another writer has committed since the state was read."""
+        Postings and word entries keep their `letter` column, by which a search
+        prunes folders.
+        """
+        parts = self.folders(table)
+        where = [f"{self.root}/{table}/{f}" for part, (_, folders) in parts.items()
+                 if letters is None or part in letters for f in folders]
+        stored = self._stored(table)
+        if not where:
+            return self.spark.createDataFrame([], stored).drop("gen", "write")
+        rows = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*where)
+        return rows.drop("gen", "write")
 
+    # -- writing -------------------------------------------------------------
 
-class IndexStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+    def insert(self, table: str, rows: DataFrame, name: str | None = None) -> None:
+        """Add rows with keys that the table does not hold.
 
-    # -- commit log ----------------------------------------------------------
-
-    def _files(self):
-        """The file context and the log folder, in whatever file system the store lives."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(f"{self.root}/commits")
-        context = hadoop.FileContext.getFileContext(
-            folder.toUri(), self.spark._jsc.hadoopConfiguration()
-        ) if folder.toUri().getScheme() else hadoop.FileContext.getFileContext(
-            self.spark._jsc.hadoopConfiguration())
-        return hadoop, context, folder
-
-    def state(self) -> State:
-        """The last commit. One listing and one small read, whatever the store holds."""
-        hadoop, context, folder = self._files()
-        if not context.util().exists(folder):
-            return State()
-        names = [f.getPath().getName() for f in context.util().listStatus(folder)]
-        last = max((n for n in names if n.endswith(".json") and n[0] != "."), default=None)
-        if last is None:
-            return State()
-        text = self.spark.read.text(f"{self.root}/commits/{last}", wholetext=True).first().value
-        return State(**json.loads(text))
-
-    def _put(self, state: State) -> None:
-        hadoop, context, folder = self._files()
-        jvm = self.spark._jvm
-        context.mkdir(folder, jvm.org.apache.hadoop.fs.permission.FsPermission.getDirDefault(), True)
-        draft = hadoop.Path(folder, f".{uuid.uuid4().hex}.draft")
-        out = draft.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(draft, False)
-        out.write(bytearray(json.dumps(state.__dict__).encode()))
-        out.close()
-        none = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
-        try:
-            context.rename(draft, hadoop.Path(folder, f"{state.version:015d}.json"), none)
-        except Exception as error:  # the version exists: the other writer was first
-            context.delete(draft, False)
-            if "FileAlreadyExistsException" in str(error):
-                raise Conflict(f"version {state.version} exists") from error
-            raise
-
-    def commit(self, seen: State, added: dict[str, list], replaced: tuple[str, ...] = (),
-               stream: tuple[str, int] | None = None) -> None:
-        """Make writes visible on top of `seen`.
-
-        Tables in `replaced` lose the writes that `seen` lists. Raises Conflict if
-        another commit has come since; then the work starts from the new state.
+        A batch that may be run again gives its name: it then replaces what the first
+        run has left. `rows` must be the same each time.
         """
-        tables = {t: [] if t in replaced else list(w) for t, w in seen.tables.items()}
-        for table, writes in added.items():
-            tables[table] = tables.get(table, []) + writes
-        streams = seen.streams | ({stream[0]: stream[1]} if stream else {})
-        self._put(State(seen.version + 1, tables, streams))
+        self._write(table, rows, {part: number for part, (number, _) in self.folders(table).items()}, 0, name)
 
-    def update(self, work: Callable[[State], dict | None]) -> None:
-        """Run `work(state)`, which writes and returns the arguments of its commit.
+    def upsert(self, table: str, rows: DataFrame) -> None:
+        """Put rows, one of a key, in place of those with their keys; other keys are added.
 
-        It runs again from the newer state if another writer comes first, so its
-        commit always rests on the state it has read.
+        Only letters with a key that is there already are merged and written again.
         """
-        while True:
-            seen = self.state()
-            made = work(seen)
-            if made is None:
-                return
-            try:
-                self.commit(seen, **made)
-                return
-            except Conflict:
-                continue
+        _, key, word = TABLES[table]
+        rows = stage(self._lettered(table, rows), table)
+        parts = self.folders(table)
+        asked = [r.letter for r in rows.select("letter").distinct().collect()] if word else None
+        old = self.read(table, asked)
+        changed = only_keys(old, rows, key)
+        # No more letters than a token has characters to begin with.
+        if word:
+            touched = [r.letter for r in changed.select("letter").distinct().collect()]
+            merged = F.col("letter").isin(touched)
+        else:
+            touched = [""] * (not changed.isEmpty())
+            merged = F.lit(bool(touched))
+        kept = drop_known(old.filter(merged), rows, key)
+        last = max((number for number, _ in parts.values()), default=-1)
+        moved = {part: last + 1 if part in touched else number for part, (number, _) in parts.items()}
+        self._write(table, kept.unionByName(rows.select(*old.columns)), moved, 0, None)
 
-    # -- writing -------------------------------------------------------------
+    def replace(self, table: str, rows: DataFrame) -> None:
+        """Write the whole table anew. Letters that have no rows any more keep an empty generation."""
+        parts = self.folders(table)
+        last = max((number for number, _ in parts.values()), default=-1) + 1
+        self._write(table, rows, {}, last, None)
+        for letter, (number, _) in self.folders(table).items():
+            if number < last:
+                end = f"letter={letter}/" if letter else ""
+                nothing = self.spark.createDataFrame([], TABLES[table][0])
+                nothing.write.parquet(f"{self.root}/{table}/{end}gen={last}/write=none")
+
+    def compact(self, table: str) -> None:
+        """Write the rows of many writes as one."""
+        if any(len(folders) > 1 for _, folders in self.folders(table).values()):
+            self.replace(table, self.read(table))
 
-    def write(self, table: str, rows: DataFrame, seen: State, fresh: bool = False) -> list:
-        """Write rows of a table; visible when the returned entry is committed on `seen`."""
-        schema, key, word = TABLES[table]
-        name = f"{seen.version + 1:015d}-{uuid.uuid4().hex}"  # sorts in the order of commits
+    def _lettered(self, table: str, rows: DataFrame) -> DataFrame:
+        schema, _, word = TABLES[table]
         rows = rows.select(*schema.names)
-        where = f"{self.root}/{table}/write={name}"
-        if word is None:
-            rows.write.parquet(where)
+        return with_letter(rows, word) if word else rows
+
+    def _write(self, table: str, rows: DataFrame, numbers: dict[str, int], other: int, name: str | None) -> None:
+        """Write rows as one folder `write=` of the generation `numbers` has for their letter, or `other`."""
+        _, key, word = TABLES[table]
+        rows = self._lettered(table, rows)
+        by = ["letter", "gen", "write"] if word else ["gen", "write"]
+        if word:
+            gen = F.lit(other)
+            if numbers:
+                pairs = [F.lit(x) for pair in numbers.items() for x in pair]
+                gen = F.coalesce(F.create_map(*pairs)[F.col("letter")], gen)
         else:
+            gen = F.lit(numbers.get("", other))
+        rows = rows.withColumns({"gen": gen, "write": F.lit(name or uuid.uuid4().hex)})
+        if word:
             # Ranges over the whole key: files hold few distinct words, which lets
             # min/max statistics skip them, and a frequent word fills several files.
             # Ranging samples its input, so that is written first.
-            rows = stage(with_letter(rows, word), table)
-            ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
-            ordered.write.partitionBy("letter").parquet(where)
-        return [name, fresh]
-
-    def add(self, **rows: DataFrame) -> None:
-        """Write and commit rows of some tables; of one key the newest write counts."""
-        self.update(lambda seen: {
-            "added": {t: [self.write(t, df, seen)] for t, df in rows.items()}
-        })
-
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Write the whole table anew; the writes it had stop counting."""
-        self.update(lambda seen: {
-            "added": {table: [self.write(table, rows, seen, fresh=True)]}, "replaced": (table,)
-        })
-
-    def compact(self, table: str) -> None:
-        """Write the current rows as one write in place of those that hold them."""
-        self.update(lambda seen: {
-            "added": {table: [self.write(table, self.read(table, seen), seen, fresh=True)]},
-            "replaced": (table,),
-        } if len(seen.writes(table)) > 1 else None)
-
-    # -- reading -------------------------------------------------------------
-
-    def read(self, table: str, seen: State | None = None) -> DataFrame:
-        """Current rows of a table, or those of a state.
-
-        Postings and word entries keep their `letter` column, by which a search
-        prunes folders. Writes that are fresh are read side by side; only where
-        keys can repeat is the newest row of a key looked for.
-        """
-        writes = (seen or self.state()).writes(table)
-        return self.read_writes(table, [w[0] for w in writes], all(w[1] for w in writes[1:]))
-
-    def read_writes(self, table: str, names: list[str], distinct: bool = True) -> DataFrame:
-        schema, key, word = TABLES[table]
-        stored = T.StructType(
-            schema.fields
-            + ([T.StructField("letter", T.StringType())] if word else [])
-            + [T.StructField("write", T.StringType())]
-        )
-        if not names:
-            return self.spark.createDataFrame([], stored).drop("write")
-        rows = (
-            self.spark.read.schema(stored)
-            .option("basePath", f"{self.root}/{table}")
-            .parquet(*[f"{self.root}/{table}/write={n}" for n in names])
-        )
-        if key is None or distinct:
-            return rows.drop("write")
-        values = [c for c in stored.names if c not in key + ["letter", "write"]]
-        keys = key + (["letter"] if word else [])
-        last = F.max_by(F.struct(*values), "write").alias("_last")
-        return rows.groupBy(*keys).agg(last).select(*keys, "_last.*").select(
-            *[c for c in stored.names if c != "write"]
-        )
+            rows = stage(rows, table)
+            rows = rows.repartitionByRange("letter", *key).sortWithinPartitions(*by, *key)
+        # Puts each folder in place by one rename; a folder of the same name goes.
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(
+            f"{self.root}/{table}")

@@ -37,12 +37,11 @@ def read_body_files(spark: SparkSession, path: str, site: str, media: str) -> Da
 def stream_of_table(spark: SparkSession, folder: str, name: str, schema) -> DataFrame:
     """The files of a given table as a stream, be the table one file or a folder of them."""
     path = f"{folder}/{name}.parquet"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
     reader = spark.readStream.schema(schema)
-    if system.getFileStatus(where).isDirectory():
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    return reader.parquet(path)
 
 
 def pages_with_json_links(pages: DataFrame) -> DataFrame:

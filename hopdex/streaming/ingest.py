@@ -11,7 +11,7 @@ from hopdex.operators.crawl import accepted, check_seeds, crawl
 from hopdex.operators.extract import parse_responses
 from hopdex.operators.index import build_postings, build_word_entries, changed_entries
 from hopdex.operators.joins import drop_known, match_join, newest, only_keys
-from hopdex.operators.status import page_counters
+from hopdex.operators.status import page_counters, pressure_sessions
 from hopdex.operators.upsert import mark_interrupted
 from hopdex.schemas import RESPONSES
 from hopdex.session import stage
@@ -47,50 +47,39 @@ def one_per_url(offered: DataFrame) -> DataFrame:
     return single.unionByName(chosen)
 
 
-def index_responses(store: IndexStore, offered: DataFrame, stream: tuple[str, int] | None = None) -> None:
-    """Add responses: pages, postings and word entries in one commit.
+def index_responses(store: IndexStore, offered: DataFrame, batch: str | None = None) -> None:
+    """Add responses: pages, postings and word entries.
 
-    A URL that has a page already is dropped before it is parsed. `stream` names the
-    stream and its batch number; a batch that is in the store already is left out.
+    A URL that has a page already is dropped before it is parsed. A batch of a stream
+    has a name: run again, it replaces what it has left, or is left out if it came to
+    its end, which is when its pages are there. Nothing else may write in between.
     """
+    if batch and store.holds("pages", batch):
+        return
     offered = stage(one_per_url(offered), "offered")
-
-    def work(seen):
-        if stream and seen.streams.get(stream[0], -1) >= stream[1]:
-            return None
-        unknown = drop_known(offered, store.read("pages", seen), ["url"])
-        pages = store.write("pages", parse_responses(unknown), seen, fresh=True)
-        fresh = store.read_writes("pages", [pages[0]])
-        postings = store.write("postings", build_postings(fresh), seen, fresh=True)
-        # Only what the batch touches is read from the other tables. Its URLs are
-        # new, so the store cannot hold entries of theirs.
-        known = only_keys(store.read("discoveries", seen), fresh, ["url"])
-        entries = build_word_entries(fresh, with_origin(known, store.read("jobs", seen)))
-        entries = store.write("word_entries", entries, seen, fresh=True)
-        return {
-            "added": {"pages": [pages], "postings": [postings], "word_entries": [entries]},
-            "stream": stream,
-        }
-
-    store.update(work)
+    fresh = stage(parse_responses(drop_known(offered, store.read("pages"), ["url"])), "fresh")
+    # Only what the batch touches is read from the other tables. Its URLs are
+    # new, so the store cannot hold entries of theirs.
+    known = only_keys(store.read("discoveries"), fresh, ["url"])
+    entries = build_word_entries(fresh, with_origin(known, store.read("jobs")))
+    store.insert("postings", build_postings(fresh), batch)
+    store.insert("word_entries", entries, batch)
+    store.insert("pages", fresh, batch)
 
 
 def record_discoveries(store: IndexStore, jobs: DataFrame, found: DataFrame) -> None:
-    """Add jobs and their discoveries; pages fetched before count for them at once."""
-    def work(seen):
-        job_write = store.write("jobs", jobs, seen)
-        found_write = store.write("discoveries", found, seen)
-        fresh = with_origin(
-            store.read_writes("discoveries", [found_write[0]]), store.read_writes("jobs", [job_write[0]]))
-        fresh = stage(fresh, "fresh")
-        pages = only_keys(store.read("pages", seen), fresh, ["url"])
-        entries = build_word_entries(pages, fresh)
-        stored = only_keys(store.read("word_entries", seen), fresh, ["url"])
-        # A page is fetched once, so an entry is there as it is or not at all.
-        entry_write = store.write("word_entries", changed_entries(entries, stored), seen, fresh=True)
-        return {"added": {"jobs": [job_write], "discoveries": [found_write], "word_entries": [entry_write]}}
-
-    store.update(work)
+    """Add jobs and their discoveries; pages fetched before count for them at once.
+
+    Word entries come first, so that after a failure the same call completes the rest.
+    """
+    jobs, found = stage(jobs, "jobs"), stage(found, "found")
+    fresh = stage(with_origin(found, jobs), "fresh")
+    entries = build_word_entries(only_keys(store.read("pages"), fresh, ["url"]), fresh)
+    stored = only_keys(store.read("word_entries"), fresh, ["url"])
+    # A page is fetched once, so an entry is there as it is or not at all.
+    store.insert("word_entries", changed_entries(entries, stored))
+    store.upsert("discoveries", found)
+    store.upsert("jobs", jobs)
 
 
 def stream_name(spark: SparkSession, checkpoint: str) -> str:
@@ -106,7 +95,7 @@ def index_stream(responses: DataFrame, store: IndexStore, checkpoint: str) -> St
     checkpoint, is known by its stream and number and changes nothing.
     """
     def run(batch: DataFrame, batch_number: int) -> None:
-        index_responses(store, batch, (stream_name(store.spark, checkpoint), batch_number))
+        index_responses(store, batch, f"{stream_name(store.spark, checkpoint)}-{batch_number}")
 
     return (
         responses.writeStream.foreachBatch(run)
@@ -128,15 +117,28 @@ def counter_stream(events: DataFrame, sink, checkpoint: str) -> StreamingQuery:
     )
 
 
-def recover(store: IndexStore) -> None:
-    """After a stop: the tables are as committed; jobs left open become interrupted."""
-    def work(seen):
-        jobs = store.read("jobs", seen).filter(F.col("status").isin("created", "running"))
-        if jobs.isEmpty():
-            return None
-        return {"added": {"jobs": [store.write("jobs", mark_interrupted(jobs), seen)]}}
+def session_stream(
+    events: DataFrame, message: str, path: str, checkpoint: str, late: str = "10 seconds"
+) -> StreamingQuery:
+    """Back-pressure times as Parquet below `path`, each written once, when it has ended.
+
+    Events may come up to `late` after others that are newer. State holds the open
+    times only, whatever the length of the stream. Two seconds without an event end a
+    time even if the job never logs again: other jobs' events move the clock.
+    """
+    merged = pressure_sessions(events.withWatermark("logged_at", late), message)
+    return (
+        merged.writeStream.outputMode("append").format("parquet")
+        .option("path", path).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
 
-    store.update(work)
+def recover(store: IndexStore) -> None:
+    """After a stop: the tables are as written; jobs left open become interrupted."""
+    jobs = store.read("jobs").filter(F.col("status").isin("created", "running"))
+    store.upsert("jobs", mark_interrupted(jobs))
 
 
 def run_jobs(store: IndexStore, seeds: DataFrame) -> DataFrame:
@@ -166,5 +168,5 @@ def run_jobs(store: IndexStore, seeds: DataFrame) -> DataFrame:
         "pages_discovered": F.coalesce("pages_discovered", zero),
         "pages_indexed": F.coalesce("pages_indexed", zero),
     })
-    store.add(jobs=ended)
+    store.upsert("jobs", ended)
     return checked.filter("reject_reason IS NOT NULL")

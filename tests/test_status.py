@@ -36,7 +36,7 @@ def test_log_limit_runs_before_the_shuffle(spark):
 def test_logs_are_appended(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path))
     for _ in range(2):
-        store.add(logs=logs(spark, 3))
+        store.insert("logs", logs(spark, 3))
     assert store.read("logs").count() == 6
 
 

@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 
 from hopdex.operators.extract import parse_responses
 from hopdex.operators.index import build_postings, build_word_entries
+from hopdex.operators import status
 from hopdex.operators.search import search_relevance
+from hopdex.operators.status import pressure_sessions
 from hopdex.operators.upsert import upsert
 from hopdex.schemas import DISCOVERIES, JOBS, RESPONSES, WORD_ENTRIES
 from hopdex.session import stage
-from hopdex.sources.store import Conflict, IndexStore
+from hopdex.sources.store import IndexStore
 from hopdex.sources.tables import with_origin
 from hopdex.sources.word_lines import parse_lines, read_lines, to_lines, write_lines
 from hopdex.streaming.ingest import (
     counter_stream, index_responses, index_stream, one_per_url, read_response_stream, record_discoveries, recover, run_jobs,
-    stream_name,
+    session_stream, stream_name,
 )
 
 
@@ -81,56 +83,65 @@ def test_upsert_twice_is_upsert_once(spark):
     assert rows(upsert(once, delta, ["k"], ["at"])) == rows(once)
 
 
-def test_store_keeps_the_newest_committed_batch(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path))
+def entry(spark, *rows):
+    return spark.createDataFrame([(w, "u", "o", 0, f) for w, f in rows], WORD_ENTRIES)
+
 
-    def entries(f):
-        return spark.createDataFrame([("w", "u", "o", 0, f), (f"x{f}", "u", "o", 0, 1)], WORD_ENTRIES)
+def test_store_holds_one_row_of_a_key(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path))
 
     def held():
         return sorted((r.word, r.frequency) for r in store.read("word_entries").collect())
 
     assert held() == []
-    seen = store.state()
-    first = store.write("word_entries", entries(1), seen)
-    assert held() == []  # not committed
-    store.commit(seen, {"word_entries": [first]})
-    assert held() == [("w", 1), ("x1", 1)]
-    store.add(word_entries=entries(2))
+    store.compact("word_entries")
+    store.insert("word_entries", entry(spark, ("w", 1), ("x1", 1)))
+    store.upsert("word_entries", entry(spark, ("w", 2), ("x2", 1)))
     assert held() == [("w", 2), ("x1", 1), ("x2", 1)]
+    store.upsert("word_entries", entry(spark))
+    store.insert("word_entries", entry(spark))
     before = held()
     store.compact("word_entries")
-    assert held() == before and len(store.state().writes("word_entries")) == 1
-    store.replace("word_entries", entries(7))
-    assert held() == [("w", 7), ("x7", 1)]
+    assert held() == before and all(len(f) == 1 for _, f in store.folders("word_entries").values())
+    store.replace("word_entries", entry(spark, ("w", 7), ("y", 1)))
+    assert held() == [("w", 7), ("y", 1)]  # no row of the letter x is left
+    store.insert("word_entries", entry(spark, ("x", 3)))
+    assert held() == [("w", 7), ("x", 3), ("y", 1)]
+    store.replace("word_entries", entry(spark))
+    assert held() == []
 
 
-def test_of_two_writers_one_starts_again(spark, tmp_path):
+def test_letters_without_a_changed_key_keep_their_files(spark, tmp_path):
     store = IndexStore(spark, str(tmp_path))
-
-    def entries(word):
-        return spark.createDataFrame([(word, "u", "o", 0, 1)], WORD_ENTRIES)
-
-    store.add(word_entries=entries("a"))
-    seen = store.state()
-    late = store.write("word_entries", entries("b"), seen)
-    store.compact("word_entries")  # one write: nothing to do
-    store.add(word_entries=entries("c"))  # the other writer is first
-    with pytest.raises(Conflict):
-        store.commit(seen, {"word_entries": [late]})
-    assert {r.word for r in store.read("word_entries").collect()} == {"a", "c"}
-    turns = []
-
-    def work(state):
-        turns.append(state.version)
-        write = store.write("word_entries", entries("d"), state)
-        if len(turns) == 1:
-            store.add(word_entries=entries("e"))
-        return {"added": {"word_entries": [write]}}
-
-    store.update(work)
-    assert len(turns) == 2 and turns[1] == turns[0] + 1
-    assert {r.word for r in store.read("word_entries").collect()} == {"a", "c", "d", "e"}
+    store.insert("word_entries", entry(spark, ("a", 1), ("ab", 1), ("b", 1), ("c", 1)))
+    before = store.folders("word_entries")
+    reader = store.read("word_entries")
+    store.upsert("word_entries", entry(spark, ("a", 2), ("bc", 5), ("d", 1)))
+    after = store.folders("word_entries")
+    assert after["c"] == before["c"]
+    assert after["a"][0] > before["a"][0] and len(after["a"][1]) == 1
+    assert after["b"][0] == before["b"][0] and set(before["b"][1]) < set(after["b"][1])
+    # A reader that came before sees what it has listed.
+    assert sorted((r.word, r.frequency) for r in reader.collect()) == [("a", 1), ("ab", 1), ("b", 1), ("c", 1)]
+    assert sorted((r.word, r.frequency) for r in store.read("word_entries").collect()) == [
+        ("a", 2), ("ab", 1), ("b", 1), ("bc", 5), ("c", 1), ("d", 1)]
+    assert [r.word for r in store.read("word_entries", ["c", "x"]).collect()] == ["c"]
+
+
+def test_a_batch_run_again_replaces_its_first_run(spark, tmp_path, site):
+    store = IndexStore(spark, str(tmp_path))
+    index_responses(store, responses(spark, site[:1]), "s-0")
+    whole = IndexStore(spark, str(tmp_path) + "/whole")
+    index_responses(whole, responses(spark, site[:1]), "s-0")
+    index_responses(whole, responses(spark, site[1:]), "s-1")
+    # The second batch ends before its pages are written.
+    store.insert("postings", build_postings(parse_responses(responses(spark, site[1:3]))), "s-1")
+    assert not store.holds("pages", "s-1")
+    index_responses(store, responses(spark, site[1:]), "s-1")
+    assert store.holds("pages", "s-1")
+    index_responses(store, responses(spark, [page(9, "other")]), "s-1")  # known by its name
+    for table in ("pages", "postings", "word_entries"):
+        assert rows(store.read(table).drop("fetched_at", "links")) == rows(whole.read(table).drop("fetched_at", "links"))
 
 
 def test_fresh_writes_are_read_without_a_shuffle(spark, tmp_path):
@@ -172,13 +183,12 @@ def test_stream_equals_batch_with_replay_and_restart(spark, tmp_path, site):
     assert len(progress) == 2
     assert store.read("pages").count() == 3
 
-    # A replayed batch is known by its number, and its pages by their URLs.
+    # A replayed batch is known by its name, and its pages by their URLs.
     before = rows(store.read("postings")), rows(store.read("word_entries"))
-    version = store.state().version
-    index_responses(store, responses(spark, [site[3]]), (stream_name(spark, offsets), 1))
-    assert store.state().version == version
+    index_responses(store, responses(spark, [site[3]]), f"{stream_name(spark, offsets)}-1")
     index_responses(store, responses(spark, [site[1], ("HTTP://S.test:80/3", "x")]))
     assert (rows(store.read("postings")), rows(store.read("word_entries"))) == before
+    assert store.read("pages").count() == 3
     store.compact("pages")
     store.compact("postings")
 
@@ -216,6 +226,32 @@ def test_counter_stream_updates(spark, tmp_path):
     assert latest == {("a", "x"): 2, ("a", "y"): 1, ("b", "x"): 1}
 
 
+def test_pressure_streams_close_as_the_status_says(spark, tmp_path):
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "id bigint, job_id string, logged_at timestamp, message string"
+    seconds = {"a": [0, 1, 3, 4.999, 9], "b": [2.5, 4.4, 6.5], "c": [4]}
+    events = sorted((at, job) for job, times in seconds.items() for at in times)
+
+    def logged(some):
+        rows = [(0, job, "p", float(at)) for at, job in some] + [(0, job, "x", at + 0.1) for at, job in some]
+        return spark.createDataFrame(rows, "id bigint, job_id string, message string, at double").select(
+            "id", "job_id", F.timestamp_millis(F.round(F.col("at") * 1000).cast("bigint")).alias("logged_at"), "message")
+
+    logs = logged(events)
+    for part in (events[:3], events[3:7], events[7:], [(60, "z")]):
+        logged(part).coalesce(1).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(schema).parquet(inbox)
+        session_stream(source, "p", out, str(tmp_path / "offsets"), late="1 second").awaitTermination()
+    closed = spark.read.parquet(out)
+    assert rows(closed) == rows(pressure_sessions(logs, "p"))  # that of z is still open
+    assert Counter(r.n_events for r in closed.collect()) == Counter([2, 2, 1, 2, 1, 1])
+    for at in (0, 1.5, 3, 4.6, 6.999, 7, 8.5, 11):
+        asof = F.timestamp_millis(F.lit(int(at * 1000)))
+        seen = status.backpressure_recent(logs.filter(F.col("logged_at") <= asof), "p", asof)
+        now = closed.filter((F.col("active_from") <= asof) & (F.col("active_until") > asof))
+        assert sorted(r.job_id for r in now.collect()) == sorted(r.job_id for r in seen.filter("active").collect())
+
+
 def test_one_response_per_url(spark):
     a, b, c = (f"http://s.test/{name}" for name in "abc")
     offered = responses(spark, [(a, "1"), (a, "1"), (a, "2"), (b, "3"), (c, "4"), (c, "4")])
