@@ -389,7 +389,7 @@ SELECT job_id, 'completed' AS status, count(*) AS pages_discovered,
 SELECT user_id::VARCHAR AS job_id, event_type AS message, count(*) AS events FROM events GROUP BY ALL""",
     "stream_pressure_sessions": """
 WITH logs AS (SELECT user_id::VARCHAR AS job_id, ts FROM events WHERE event_type = 'error'),
-marked AS (SELECT job_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY job_id ORDER BY ts) >= INTERVAL 2 SECONDS, true)
+marked AS (SELECT job_id, ts, coalesce(ts - lag(ts) OVER (PARTITION BY job_id ORDER BY ts) > INTERVAL 2 SECONDS, true)
     ::INT AS begins FROM logs),
 numbered AS (SELECT job_id, ts, sum(begins) OVER (PARTITION BY job_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS nth
   FROM marked)
