@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hopdex.functions.markup import parse_markup
+from hopdex.functions.markup import PARSED, parse_markup
 from hopdex.schemas import PAGES
 
 # Bytes that a capped reader takes of a body, and the note put behind a cut one.
@@ -76,13 +76,16 @@ def url_path(url: Column) -> Column:
 
 def parse_responses(responses: DataFrame, fetched_at: Column | None = None,
                     max_body_bytes: int | None = None) -> DataFrame:
-    """One page row per response. One scan, no shuffle.
+    """One page row per response, no shuffle.
 
     Bodies are taken whole. With `max_body_bytes` a longer one is cut there, before
     it is unpacked, and its text says so.
 
     Plain UTF-8 bodies are decoded in the JVM; compressed, oddly encoded or
-    invalid ones reach the decoding UDF, the others pass it as NULL.
+    invalid ones reach the decoding UDF, the others pass it as NULL. Failed responses
+    and plain bodies that are not HTML go past Python on a branch of their own: a row
+    that waits for a UDF is held with all its columns, which for rows that the UDF gets
+    as NULL would be any number of bodies. `responses` is read once for each branch.
     """
     body, cut = F.coalesce("body", F.lit(b"")), F.lit(False)
     if max_body_bytes is not None:
@@ -106,13 +109,19 @@ def parse_responses(responses: DataFrame, fetched_at: Column | None = None,
         & F.col("_charset").isin("utf-8", "utf8")
         & F.is_valid_utf8(F.col("_body").cast("string"))
     )
+    is_html = F.contains("_media", F.lit("html"))
+    native = F.col("_failed").isNotNull() | (~is_html & F.coalesce(plain, F.lit(False)))
+    past = r.filter(native).withColumns({
+        "_rest": F.lit(None).cast(_DECODED), "_text": F.col("_body").cast("string"),
+        "_html": F.lit(None).cast(PARSED)})
+    r = r.filter(~native)
     rest = _decode_udf(F.when(~plain, F.col("_body")), F.col("_charset"), F.col("_zipped"))
     r = r.withColumn("_rest", rest).withColumn(
         "_text", F.when(plain, F.col("_body").cast("string")).otherwise(F.col("_rest.text"))
     )
-    is_html = F.contains("_media", F.lit("html"))
     r = r.withColumn("_html", parse_markup(F.when(is_html, F.col("_text")), F.col("url")))
-    return _page_columns(r, is_html, CUT_NOTE.format(max_body_bytes))
+    note = CUT_NOTE.format(max_body_bytes)
+    return _page_columns(past, is_html, note).unionByName(_page_columns(r, is_html, note))
 
 
 def _page_columns(r: DataFrame, is_html: Column, note: str) -> DataFrame:

@@ -120,3 +120,20 @@ def test_saved_bodies_are_a_source(spark, tmp_path):
     assert [(r.url, r.title, r.text) for r in pages.collect()] == [
         ("http://f.test/one.html", "One", "x")
     ]
+
+
+def test_plain_bodies_go_past_python(spark):
+    """Rows that a UDF does not need would wait for it with their bodies, any number of them."""
+    rows = [("http://a.test/p/plain", 200, {"Content-Type": "text/plain"}, b"x", None),
+            ("http://a.test/p/html", 200, {"Content-Type": "text/html"}, b"<p>y", None),
+            ("http://a.test/p/bad", 200, {"Content-Type": "text/plain"}, b"a\xff", None),
+            ("http://a.test/p/none", None, None, None, None),
+            ("http://a.test/p/gone", 404, {}, b"x", None)]
+    pages = parse_responses(spark.createDataFrame(rows, RESPONSES))
+    plan = pages._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    with_python = ["EvalPython" in plan.children().apply(n).toString() for n in range(2)]
+    assert with_python == [False, True]
+    got = {r.url.rsplit("/", 1)[1]: (r.text, r.error) for r in pages.collect()}
+    assert got == {"plain": ("x", None), "html": ("y", None), "bad": ("a�", None), "none": ("", None),
+                   "gone": ("", "HTTP 404")}
