@@ -31,10 +31,14 @@ def at_second(number: Column) -> Column:
     return F.timestamp_seconds(F.unix_timestamp(F.lit(EPOCH)) + number)
 
 
-def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """(page_id, url, html), one row per canonical URL: the last fetch counts."""
-    raw = spread_if_few(table(spark, folder, "pages"))
-    raw = raw.withColumn("url", normalize_url(F.col("url")))
+def raw_pages(spark: SparkSession, folder: str, columns: tuple = ("page_id", "url", "html")) -> DataFrame:
+    """(page_id, url, html) or fewer of them, one row per canonical URL: the last fetch counts.
+
+    Written with its canonical URLs: the plans that follow then have no Python worker for
+    them next to that of the parser, and none does that work again.
+    """
+    raw = spread_if_few(table(spark, folder, "pages")).select(*columns)
+    raw = stage(raw.withColumn("url", normalize_url(F.col("url"))), "raw")
     return newest_wide(raw.filter("url IS NOT NULL"), "url", "page_id")
 
 
@@ -46,11 +50,11 @@ def fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def page_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     """(url, status_code, error) of every page, without parsing: cut-off HTML failed."""
-    whole = F.endswith("html", F.lit("</html>"))
-    return raw_pages(spark, folder).select(
+    whole = F.endswith("html", F.lit("</html>")).alias("whole")
+    return raw_pages(spark, folder, ("page_id", "url", whole)).select(
         "url",
-        F.when(whole, 200).otherwise(0).alias("status_code"),
-        F.when(~whole, F.lit("unexpected error: incomplete body")).alias("error"),
+        F.when(F.col("whole"), 200).otherwise(0).alias("status_code"),
+        F.when(~F.col("whole"), F.lit("unexpected error: incomplete body")).alias("error"),
     )
 
 
@@ -76,7 +80,7 @@ def host_jobs(urls: DataFrame) -> DataFrame:
 
 
 def host_discoveries(spark: SparkSession, folder: str) -> DataFrame:
-    return host_jobs(raw_pages(spark, folder).select("page_id", "url"))
+    return host_jobs(raw_pages(spark, folder, ("page_id", "url")))
 
 
 def document_pages(spark: SparkSession, folder: str) -> DataFrame:

@@ -282,7 +282,7 @@ def _page_crawl(spark, folder):
     """Every page as the origin of a one-hop job; (discoveries, outcomes)."""
     outcomes = stage(corpus.page_outcomes(spark, folder), "outcomes")
     pages = corpus.fetched_pages(spark, folder).drop("error", "status_code").join(outcomes, "url")
-    seeds = corpus.raw_pages(spark, folder).select(
+    seeds = corpus.raw_pages(spark, folder, ("page_id", "url")).select(
         F.col("page_id").cast("string").alias("job_id"), F.col("url").alias("origin_url"),
         F.lit(1).alias("max_depth"),
     )
