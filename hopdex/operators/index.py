@@ -54,12 +54,16 @@ def changed_entries(new: DataFrame, stored: DataFrame) -> DataFrame:
 
 def dedup_entries(entries: DataFrame) -> DataFrame:
     """One row per key. Key and frequency agree unless a source holds conflicts;
-    then the highest load position `_position` wins, where there is one."""
+    then the highest load position `_position` wins, where there is one.
+
+    Rows are shuffled as they are: copies of a key come from different loads, so a task
+    that counted first would hold nearly all of its rows, which is no bounded number.
+    """
     if "_position" in entries.columns:
         last = F.max_by("frequency", "_position")
     else:
         last = F.max("frequency")
-    return entries.groupBy(*WORD_ENTRY_KEY).agg(last.alias("frequency"))
+    return entries.repartition(*WORD_ENTRY_KEY).groupBy(*WORD_ENTRY_KEY).agg(last.alias("frequency"))
 
 
 def with_letter(df: DataFrame, word: str) -> DataFrame:

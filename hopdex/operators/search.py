@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hopdex.functions.text import term_counts, tokenize
 from hopdex.operators.extract import is_success
 from hopdex.operators.index import with_letter
-from hopdex.operators.joins import is_light, is_small, match_join
+from hopdex.operators.joins import is_light, is_small, match_join, only_keys
 from hopdex.operators.ranking import rank_within
 from hopdex.session import stage
 
@@ -34,12 +34,21 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", counts).withColumnRenamed("n", "times")
 
 
-def _matches(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """Index rows of the asked terms. A term can own a large share of either side."""
+def _matches(index: DataFrame, terms: DataFrame, by_page: bool = False) -> DataFrame:
+    """Index rows of the asked terms. A term can own a large share of either side.
+
+    With `by_page` and a short list of terms the rows of a page meet in one task before
+    the queries multiply them, so that sums over a page need no further shuffle. Stored
+    postings are sorted by term: a task would else hold a sum for most of its rows.
+    """
     on = ["term"]
     if "letter" in index.columns:
         terms, on = with_letter(terms, "term"), ["letter", "term"]
         index = _asked_part(index, terms)
+    if by_page and is_small(terms):
+        # By number, as what the queries make of a partition is not seen by who merges small ones.
+        parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        index = only_keys(index, terms, on).repartition(parts, "url")
     # A page can be found from very many origins: all columns that tell rows apart spread them.
     spread = [c for c in ("url", "origin_url", "depth") if c in index.columns]
     return match_join(index, terms, on, spread, ["query_id"])
@@ -85,7 +94,7 @@ def search_default(
     """
     gain = F.col("frequency").cast("bigint") + TITLE_WEIGHT * F.col("title_hits").cast("bigint")
     scored = (
-        _matches(postings, query_terms(queries))
+        _matches(postings, query_terms(queries), by_page=True)
         .groupBy("query_id", "url")
         .agg(
             F.sum(F.col("times") * gain).alias("score"),
