@@ -365,7 +365,7 @@ def word_entry_upsert(spark, folder):
     held = entries.filter(F.startswith("origin_url", F.lit("http://")))
     stale = F.when(F.startswith("word", F.lit("a")), F.col("frequency") + 1)
     held = held.withColumn("frequency", F.coalesce(stale, F.col("frequency")))
-    store.insert("word_entries", held)
+    store.insert("word_entries", held, scanned=True)
     store.upsert("word_entries", index.changed_entries(entries, store.read("word_entries")))
     return _bigints(store.read("word_entries"))
 
@@ -375,8 +375,8 @@ def word_entries_rebuild(spark, folder):
     """A store rebuilt from pages and discoveries replaces what it held before."""
     store = IndexStore(spark, shared_folder(spark, "store"))
     entries = stage(_entries(spark, folder), "entries")
-    store.insert("word_entries", entries.withColumn("frequency", F.lit(-1)))
-    store.replace("word_entries", entries)
+    store.insert("word_entries", entries.withColumn("frequency", F.lit(-1)), scanned=True)
+    store.replace("word_entries", entries, scanned=True)
     return _bigints(store.read("word_entries"))
 
 
@@ -716,8 +716,10 @@ class _Arrivals:
         again = self.raw.filter(F.col("page_id") % 3 == part - 1).select(
             "page_id", F.regexp_replace("url", "^http", "HTTP").alias("url"),
             F.lit("<p>offered before</p></html>").alias("html"))
-        rows = self.raw.filter(F.col("page_id") % 3 == part).unionByName(again)
-        _responses(rows).coalesce(4).write.mode("append").parquet(self.inbox)
+        # A file for every core of each side, so that a batch is worked on by all of them.
+        files = max(4, self.spark.sparkContext.defaultParallelism)
+        rows = self.raw.filter(F.col("page_id") % 3 == part).coalesce(files).unionByName(again.coalesce(files))
+        _responses(rows).write.mode("append").parquet(self.inbox)
 
     def stream(self, max_files=1000):
         """Index what has arrived, always from the same offsets into the same store."""

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hopdex.operators.index import with_letter
-from hopdex.operators.joins import drop_known, only_keys
+from hopdex.operators.joins import is_small
 from hopdex.schemas import (
     DISCOVERIES, JOB_LOGS, JOBS, PAGES, POSTINGS, WORD_ENTRIES, WORD_ENTRY_KEY,
 )
@@ -91,13 +91,14 @@ class IndexStore:
 
     # -- writing -------------------------------------------------------------
 
-    def insert(self, table: str, rows: DataFrame, name: str | None = None) -> None:
-        """Add rows with keys that the table does not hold.
+    def insert(self, table: str, rows: DataFrame, name: str | None = None, scanned: bool = False) -> None:
+        """Add rows with keys that the table does not hold; `scanned` as for `replace`.
 
         A batch that may be run again gives its name: it then replaces what the first
         run has left. `rows` must be the same each time.
         """
-        self._write(table, rows, {part: number for part, (number, _) in self.folders(table).items()}, 0, name)
+        self._write(table, rows, {part: number for part, (number, _) in self.folders(table).items()}, 0, name,
+                    scanned)
 
     def upsert(self, table: str, rows: DataFrame) -> None:
         """Put rows, one of a key, in place of those with their keys; other keys are added.
@@ -109,24 +110,31 @@ class IndexStore:
         parts = self.folders(table)
         asked = [r.letter for r in rows.select("letter").distinct().collect()] if word else None
         old = self.read(table, asked)
-        changed = only_keys(old, rows, key)
+        # The stored rows meet the keys once; which of them are replaced is written down.
+        keys = rows.select(*key).withColumn("_replaced", F.lit(True))
+        keys = F.broadcast(keys) if is_small(keys) else keys
+        marked = stage(old.join(keys, key, "left"), table)
         # No more letters than a token has characters to begin with.
+        replaced = marked.filter("_replaced")
         if word:
-            touched = [r.letter for r in changed.select("letter").distinct().collect()]
+            touched = [r.letter for r in replaced.select("letter").distinct().collect()]
             merged = F.col("letter").isin(touched)
         else:
-            touched = [""] * (not changed.isEmpty())
+            touched = [""] * (not replaced.isEmpty())
             merged = F.lit(bool(touched))
-        kept = drop_known(old.filter(merged), rows, key)
+        kept = marked.filter(merged & F.col("_replaced").isNull()).select(*old.columns)
         last = max((number for number, _ in parts.values()), default=-1)
         moved = {part: last + 1 if part in touched else number for part, (number, _) in parts.items()}
-        self._write(table, kept.unionByName(rows.select(*old.columns)), moved, 0, None)
+        self._write(table, kept.unionByName(rows.select(*old.columns)), moved, 0, None, scanned=True)
 
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Write the whole table anew. Letters that have no rows any more keep an empty generation."""
+    def replace(self, table: str, rows: DataFrame, scanned: bool = False) -> None:
+        """Write the whole table anew. Letters that have no rows any more keep an empty generation.
+
+        `scanned` says that `rows` are those of written tables, cheap to read twice.
+        """
         parts = self.folders(table)
         last = max((number for number, _ in parts.values()), default=-1) + 1
-        self._write(table, rows, {}, last, None)
+        self._write(table, rows, {}, last, None, scanned)
         for letter, (number, _) in self.folders(table).items():
             if number < last:
                 end = f"letter={letter}/" if letter else ""
@@ -136,14 +144,15 @@ class IndexStore:
     def compact(self, table: str) -> None:
         """Write the rows of many writes as one."""
         if any(len(folders) > 1 for _, folders in self.folders(table).values()):
-            self.replace(table, self.read(table))
+            self.replace(table, self.read(table), scanned=True)
 
     def _lettered(self, table: str, rows: DataFrame) -> DataFrame:
         schema, _, word = TABLES[table]
         rows = rows.select(*schema.names)
         return with_letter(rows, word) if word else rows
 
-    def _write(self, table: str, rows: DataFrame, numbers: dict[str, int], other: int, name: str | None) -> None:
+    def _write(self, table: str, rows: DataFrame, numbers: dict[str, int], other: int, name: str | None,
+               scanned: bool = False) -> None:
         """Write rows as one folder `write=` of the generation `numbers` has for their letter, or `other`."""
         _, key, word = TABLES[table]
         rows = self._lettered(table, rows)
@@ -159,8 +168,8 @@ class IndexStore:
         if word:
             # Ranges over the whole key: files hold few distinct words, which lets
             # min/max statistics skip them, and a frequent word fills several files.
-            # Ranging samples its input, so that is written first.
-            rows = stage(rows, table)
+            # Ranging samples its input, so that is written first unless it is a scan already.
+            rows = rows if scanned else stage(rows, table)
             rows = rows.repartitionByRange("letter", *key).sortWithinPartitions(*by, *key)
         # Puts each folder in place by one rename; a folder of the same name goes.
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(

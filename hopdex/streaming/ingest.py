@@ -35,7 +35,8 @@ def one_per_url(offered: DataFrame) -> DataFrame:
     canonical form are dropped.
     """
     columns = offered.columns
-    offered = offered.withColumn("url", normalize_url(F.col("url"))).filter("url IS NOT NULL")
+    # Written with these URLs: they are asked for three times, and a batch is read but once.
+    offered = stage(offered.withColumn("url", normalize_url(F.col("url"))), "offered").filter("url IS NOT NULL")
     repeated = offered.groupBy("url").agg(F.count("*").alias("_n")).filter("_n > 1").select("url")
     repeated = stage(repeated, "repeated")
     single = drop_known(offered, repeated, ["url"])
