@@ -25,6 +25,10 @@ PATTERN = (
 )
 # Words that a process remembers; beyond that it starts anew.
 REMEMBERED = 400_000
+# Pairs of neighbours that a process remembers.
+PAIRS = 400_000
+# Bytes of text that are split into words together.
+_SLICE = 1 << 20
 # Longer words are not remembered.
 LONG = 64
 
@@ -50,14 +54,20 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.bytes_of = {number: token for token, number in self.ids.items()}
         self.bytes_of |= {number: content.encode() for content, number in self.special.items()}
-        self.endings = {token[at:] for token in self.ids for at in range(len(token))}
-        self._apart: dict[tuple[bytes, bytes], bool] = {}
-        self._whole: dict[bytes, bool] = {}
-
-    def merged(self, text: bytes) -> list[bytes]:
-        """The encoding by definition: the earliest merge first. Quadratic, for short strings."""
+        self.sizes = {number: len(token) for number, token in self.bytes_of.items()}
+        # What a prefix of a word ends with, as far as tokens can go on from there: a state for each beginning
+        # of a token, filled as words need it: the beginning, the state after each next byte, and for the tokens
+        # that end there, the longest first, the id, the length and whether it stays after the last token before.
+        self._begins = {token[:size] for token in self.ids for size in range(1, len(token) + 1)}
+        self._states: dict[bytes, tuple[bytes, dict, tuple]] = {b"": (b"", {}, ())}
+        self._stay: dict[int, dict[int, bool]] = {}
+        self._pairs = 0
+        self._halves: dict[bytes, tuple[int, bytes, bytes] | None] = {}
+
+    def merged(self, text: bytes, least: int = 1) -> list[bytes]:
+        """The encoding by definition, the earliest merge first, down to `least` parts. Quadratic, for short strings."""
         parts = [text[i: i + 1] for i in range(len(text))]
-        while len(parts) > 1:
+        while len(parts) > least:
             rank, at = min(
                 (self.merges.get(pair, len(self.merges)), i)
                 for i, pair in enumerate(zip(parts, parts[1:], strict=False))
@@ -67,19 +77,61 @@ class Vocabulary:
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def halves(self, token: bytes) -> tuple[int, bytes, bytes] | None:
+        """(rank, left, right) of the last merge that makes a token, rank -1 for one byte; none if they do not make it."""
+        if token not in self._halves:
+            known = (-1, token, token)
+            if len(token) > 1:
+                parts = self.merged(token, 2)
+                rank = self.merges.get(tuple(parts)) if len(parts) == 2 else None
+                known = None if rank is None else (rank, *parts)
+            self._halves[token] = known
+        return self._halves[token]
+
     def apart(self, left: bytes, right: bytes) -> bool:
-        """Whether the merges leave these two neighbours as they are."""
-        known = self._apart.get((left, right))
-        if known is None:
-            known = self._apart[left, right] = self.merged(left + right) == [left, right]
-        return known
-
-    def whole(self, token: bytes) -> bool:
-        """Whether the merges make this token of its bytes."""
-        known = self._whole.get(token)
-        if known is None:
-            known = self._whole[token] = self.merged(token) == [token]
-        return known
+        """Whether the merges leave these two tokens, which they make, as they are.
+
+        Goes back through the merges of the two, the last one first. If what then stands
+        at the border has a merge of its own that comes before the one taken back, that
+        would have been made instead; of equal ones the left is made first.
+        """
+        halves = self._halves
+        before = len(self.merges)
+        while True:
+            rank = self.merges.get((left, right))
+            if rank is not None and rank < before:
+                return False
+            first, second = halves.get(left) or self.halves(left), halves.get(right) or self.halves(right)
+            if first[0] < 0 and second[0] < 0:
+                return True
+            if first[0] > second[0]:
+                before, left = first[0], first[2]
+            else:
+                before, right = second[0] + 1, second[1]
+
+    def _stays(self, left: int, token: int) -> bool:
+        """Whether the merges make this token of its bytes and leave it and the one before it, if any, as they are."""
+        if self._pairs >= PAIRS:
+            for known in self._stay.values():
+                known.clear()
+            self._pairs = 0
+        self._pairs += 1
+        own = self.bytes_of[token]
+        stays = self.halves(own) is not None and (left < 0 or self.apart(self.bytes_of[left], own))
+        self._stay[token][left] = stays
+        return stays
+
+    def _step(self, state: tuple, byte: int) -> tuple:
+        """The state after one more byte: the longest end of the prefix that begins a token."""
+        end = state[0] + bytes((byte,))
+        while end and end not in self._begins:
+            end = end[1:]
+        if end not in self._states:
+            tokens = [end[at:] for at in range(len(end)) if end[at:] in self.ids]
+            self._states[end] = (
+                end, {}, tuple((self.ids[t], len(t), self._stay.setdefault(self.ids[t], {})) for t in tokens))
+        after = state[1][byte] = self._states[end]
+        return after
 
     def encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """(word, ids) of distinct words, in the order of a depth-first walk of their trie.
@@ -87,54 +139,48 @@ class Vocabulary:
         Sorted words are the leaves of the trie from left to right, so the path to
         the current node is a stack: what two neighbours share stays on it.
         """
-        ids, endings, apart, whole = self.ids, self.endings, self.apart, self.whole
+        sizes = self.sizes
         path = b""
-        last: list[bytes] = [b""]  # last[d]: the last token of the first d bytes of the path
+        # For the first d bytes of the path: the last token (-1 before any), and the state.
+        last, states = [-1], [self._states[b""]]
         for word in sorted(words):
             shared = 0
             limit = min(len(path), len(word))
             while shared < limit and path[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1:]
-            path = word
-            for depth in range(shared + 1, len(word) + 1):
-                found = []
-                start = depth - 1
-                ending = word[start:depth]
-                while ending in endings:
-                    if ending in ids:
-                        found.append(ending)
-                    if not start:
-                        break
-                    start -= 1
-                    ending = word[start:depth]
-                for token in reversed(found):
-                    before = depth - len(token)
-                    if apart(last[before], token) if before else whole(token):
-                        last.append(token)
+            del last[shared + 1:], states[shared + 1:]
+            path, state = word, states[shared]
+            for depth, byte in enumerate(word[shared:], shared + 1):
+                state = state[1].get(byte) or self._step(state, byte)
+                for token, size, known in state[2]:
+                    before = last[depth - size]
+                    stays = known.get(before)
+                    if stays or (stays is None and self._stays(before, token)):
                         break
                 else:
                     raise ValueError(f"the vocabulary has no token for {word[depth - 1:depth]!r}")
+                last.append(token)
+                states.append(state)
             tokens, depth = [], len(word)
             while depth:
-                tokens.append(ids[last[depth]])
-                depth -= len(last[depth])
-            yield word, tokens[::-1]
+                tokens.append(last[depth])
+                depth -= sizes[last[depth]]
+            tokens.reverse()
+            yield word, tokens
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
-
-
-_LOADED: dict[str, Vocabulary] = {}
 _SPLIT = regex.compile(PATTERN)
 
 
 class _Encoder:
-    """Word encodings of one process, kept between batches."""
+    """Word encodings of one process, kept between batches and tasks."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, tuple[str, bytes]] = {}
+        # Ids joined by commas; and what they decode to, of words that do not come back as they were.
+        self.ids: dict[str, str] = {}
+        self.back: dict[str, str] = {}
         contents = sorted(vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, contents))) if contents else None
 
@@ -149,44 +195,53 @@ class _Encoder:
             at = match.end()
         return words + _SPLIT.findall(text[at:])
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """(ids joined by commas, decoded bytes) of every text."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """(ids joined by commas, decoded text) of every text. Words and tokens have whole characters."""
+        if len(self.ids) > REMEMBERED:
+            self.ids.clear()
+            self.back.clear()
         split = [self.split(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known, vocabulary = self.known, self.vocabulary
-        fresh = set().union(*split) - known.keys()
+        ids, back, vocabulary = self.ids, self.back, self.vocabulary
+        fresh = set().union(*split) - ids.keys()
         marks = fresh & vocabulary.special.keys()
         for mark in marks:
-            number = vocabulary.special[mark]
-            known[mark] = (str(number), vocabulary.decode([number]))
+            ids[mark] = str(vocabulary.special[mark])
         names = {word.encode(): word for word in fresh - marks}
         passing = []
-        for raw, ids in vocabulary.encode_words(list(names)):
-            known[names[raw]] = (",".join(map(str, ids)), vocabulary.decode(ids))
+        for raw, numbers in vocabulary.encode_words(list(names)):
+            word = names[raw]
+            ids[word] = ",".join(map(str, numbers))
+            decoded = vocabulary.decode(numbers)
+            if decoded != raw:
+                back[word] = decoded.decode("utf-8", "replace")
             if len(raw) > LONG:
-                passing.append(names[raw])
+                passing.append(word)
         for words in split:
-            found = [known[word] for word in words]
-            yield ",".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            yield ",".join(map(ids.__getitem__, words)), "".join([back.get(w, w) for w in words] if back else words)
         for word in passing:
-            known.pop(word, None)
+            del ids[word]
+            back.pop(word, None)
+
+
+# The encoder of a process, with the hash of its vocabulary: the tasks of a worker share what it remembers.
+_LOADED: dict[str, _Encoder] = {}
 
 
 def _encode(vocabulary_text, with_ids):
     def run(batches):
         key = hashlib.sha256(vocabulary_text.value.encode()).hexdigest()
         if key not in _LOADED:
-            _LOADED[key] = Vocabulary(vocabulary_text.value)
-        encoder = _Encoder(_LOADED[key])
-        for batch in slices(batches):
+            _LOADED.clear()
+            _LOADED[key] = _Encoder(Vocabulary(vocabulary_text.value))
+        encoder = _LOADED[key]
+        for batch in slices(batches, most=_SLICE):
             raw = batch.column("text").cast(pa.binary()).to_pylist()
             texts = [(value or b"").decode("utf-8", "replace") for value in raw]
             counts, id_hashes, decoded, numbers = [], [], [], []
             for ids, back in encoder.encode(texts):
                 counts.append(ids.count(",") + 1 if ids else 0)
                 id_hashes.append(hashlib.sha256(ids.encode()).hexdigest())
-                decoded.append(back.decode("utf-8", "replace"))
+                decoded.append(back)
                 if with_ids:
                     numbers.append(np.array(ids.split(","), np.int32) if ids else np.zeros(0, np.int32))
             columns = {

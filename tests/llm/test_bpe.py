@@ -1,10 +1,14 @@
 import hashlib
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 from helpers import documents, rows_of
 from tokenizers import Tokenizer
 
+from hopdex.llm import bpe
 from hopdex.llm.bpe import Vocabulary, encode_documents, token_ids
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,3 +63,56 @@ def test_trie_walk_equals_the_definition():
     for word, ids in vocabulary.encode_words(sorted(words)):
         assert [vocabulary.bytes_of[i] for i in ids] == vocabulary.merged(word)
         assert vocabulary.decode(ids) == word
+
+
+def test_neighbours_are_judged_without_merging_again(monkeypatch):
+    """As the merges have it, by halves of tokens that are known: whole merges run once a token, not once a pair."""
+    vocabulary = Vocabulary(open(PATH, encoding="utf-8").read())
+    rng = random.Random(5)
+    tokens = sorted(vocabulary.ids)
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(3000)]
+    pairs += [(t[:n], t[n:]) for t in rng.sample(tokens, 3000) for n in range(1, len(t))]
+    pairs = [p for p in pairs if p[0] in vocabulary.ids and p[1] in vocabulary.ids]
+    expected = [vocabulary.merged(a + b) == [a, b] for a, b in pairs]
+    assert True in expected and False in expected
+    calls, merged = [], Vocabulary.merged
+    monkeypatch.setattr(Vocabulary, "merged", lambda self, *args: calls.append(args[0]) or merged(self, *args))
+    assert [vocabulary.apart(a, b) for a, b in pairs] == expected
+    assert len(calls) == len(set(calls)) <= len(tokens)
+
+
+def _words(count):
+    rng = random.Random(6)
+    return [" " + "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(6, 12))) for _ in range(count)]
+
+
+def test_a_process_remembers_little_for_a_word():
+    words = _words(40_000)
+    encoder = bpe._Encoder(Vocabulary(open(PATH, encoding="utf-8").read()))
+    tracemalloc.start()
+    try:
+        for at in range(0, len(words), 2_000):
+            list(encoder.encode(["".join(words[at: at + 2_000])]))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 600 * len(words)
+
+
+def test_tasks_of_a_worker_share_what_it_remembers(monkeypatch):
+    """And what it remembers is bounded, with the same ids."""
+    library, words = Tokenizer.from_file(PATH), _words(2_000)
+    vocabulary = SimpleNamespace(value=open(PATH, encoding="utf-8").read())
+    encoded = []
+    encode_words = Vocabulary.encode_words
+    monkeypatch.setattr(Vocabulary, "encode_words", lambda self, w: encoded.append(len(w)) or encode_words(self, w))
+    monkeypatch.setattr(bpe, "PAIRS", 50)
+    monkeypatch.setattr(bpe, "_LOADED", {})
+    batch = pa.record_batch({"doc_id": pa.array([1]), "text": pa.array(["".join(words).encode()], pa.binary())})
+    for _ in range(2):
+        found = pa.Table.from_batches(bpe._encode(vocabulary, True)(iter([batch]))).to_pylist()
+        assert found[0]["ids"] == library.encode("".join(words), add_special_tokens=False).ids
+        assert found[0]["decoded"] == "".join(words)
+    assert encoded[0] > 1_900 and encoded[1] == 0
+    (encoder,) = bpe._LOADED.values()
+    assert sum(map(len, encoder.vocabulary._stay.values())) <= 50
