@@ -116,3 +116,14 @@ def test_tasks_of_a_worker_share_what_it_remembers(monkeypatch):
     assert encoded[0] > 1_900 and encoded[1] == 0
     (encoder,) = bpe._LOADED.values()
     assert sum(map(len, encoder.vocabulary._stay.values())) <= 50
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    """When its last slice is done, before the worker goes on to a task of another step."""
+    from hopdex.llm import common
+    done = []
+    monkeypatch.setattr(common, "give_back", lambda: done.append(True))
+    batch = pa.record_batch({"text": pa.array(["a" * 10] * 5)})
+    cut = common.slices(iter([batch]), most=20)
+    assert [next(cut).num_rows for _ in range(3)] == [2, 2, 1] and not done
+    assert list(cut) == [] and done == [True]
