@@ -186,7 +186,9 @@ def training_sample(docs: DataFrame, most: int = SAMPLE_TEXTS, most_bytes: int =
     known = docs.filter("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
     hashes = known.groupBy("lang", "h").agg(F.max(F.octet_length("text")).alias("size"))
     chosen = texts_within(smallest_hashes(stage(hashes, "hashes"), "lang", most).collect(), "lang", most_bytes)
-    picked = docs.sparkSession.createDataFrame([(r.lang, r.h) for r in chosen], "lang string, h long")
+    # As Arrow: a list of rows would start further Python workers, beside those of the next steps.
+    picked = docs.sparkSession.createDataFrame(pa.table({
+        "lang": pa.array([r.lang for r in chosen], pa.string()), "h": pa.array([r.h for r in chosen], pa.int64())}))
     texts = known.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     return [(r.lang, r.text) for r in texts.orderBy("lang", "text").collect()]
 

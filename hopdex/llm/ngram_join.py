@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopdex.llm.common import LAST_ID, binary_column, keyed, mix, slices, span_hashes, spans, text_bytes, word_spans
+from hopdex.llm.common import LAST_ID, binary_column, keyed, mix, slices, spans, text_bytes, word_hashes, word_spans
 from hopdex.llm.components import components
 from hopdex.operators.joins import only_keys
 from hopdex.session import stage
@@ -50,7 +50,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> t
     """
     starts, ends = word_spans(data, offsets, _WORD_BYTE)
     count = np.bincount(np.searchsorted(offsets[1:], starts, side="right"), minlength=len(offsets) - 1)
-    hashes = span_hashes(data.astype(np.uint64), starts, ends)
+    hashes = word_hashes(data, starts, ends)
     first = np.cumsum(count) - count
     shingles = np.where(count > 0, np.maximum(count - words + 1, 1), 0)
     row = np.repeat(np.arange(len(count)), shingles)

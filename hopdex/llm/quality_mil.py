@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hopdex.llm.common import Adam, labelled_sample, sigmoid, slices, span_hashes, text_bytes, third, word_spans
+from hopdex.llm.common import Adam, labelled_sample, sigmoid, slices, text_bytes, third, word_hashes, word_spans
 
 PASSAGE = 512  # bytes
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 1_500, 8_000_000
@@ -50,7 +50,7 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[:, :_CLASSES] = classes.reshape(total, _CLASSES) / some[:, None]
     starts, ends = word_spans(data, offsets, _WORD_BYTE)
     if len(starts):
-        hashes, of_word = span_hashes(data.astype(np.uint64), starts, ends), of_byte[starts]
+        hashes, of_word = word_hashes(data, starts, ends), of_byte[starts]
         words = np.bincount(of_word, minlength=total).astype(np.float32)
         text = np.searchsorted(offsets[1:], starts, side="right")
         same = np.zeros(len(starts), bool)
