@@ -37,20 +37,21 @@ def query_terms(queries: DataFrame) -> DataFrame:
 def _matches(index: DataFrame, terms: DataFrame, by_page: bool = False) -> DataFrame:
     """Index rows of the asked terms. A term can own a large share of either side.
 
-    With `by_page` and a short list of terms the rows of a page meet in one task before
-    the queries multiply them, so that sums over a page need no further shuffle. Stored
-    postings are sorted by term: a task would else hold a sum for most of its rows.
+    With `by_page` and a short list of terms the rows of a page (and of an origin and depth,
+    where there are those) meet in one task before the queries multiply them, so that sums
+    over them need no further shuffle. Stored postings are sorted by term: a task would
+    else hold a sum for most of its rows.
     """
     on = ["term"]
     if "letter" in index.columns:
         terms, on = with_letter(terms, "term"), ["letter", "term"]
         index = _asked_part(index, terms)
+    # A page can be found from very many origins: all columns that tell rows apart spread them.
+    spread = [c for c in ("url", "origin_url", "depth") if c in index.columns]
     if by_page and is_small(terms):
         # By number, as what the queries make of a partition is not seen by who merges small ones.
         parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        index = only_keys(index, terms, on).repartition(parts, "url")
-    # A page can be found from very many origins: all columns that tell rows apart spread them.
-    spread = [c for c in ("url", "origin_url", "depth") if c in index.columns]
+        index = only_keys(index, terms, on).repartition(parts, *spread)
     return match_join(index, terms, on, spread, ["query_id"])
 
 
@@ -120,7 +121,7 @@ def search_relevance(queries: DataFrame, entries: DataFrame, pages: DataFrame) -
     """
     index = entries.withColumnRenamed("word", "term")
     scored = (
-        _matches(index, query_terms(queries).drop("times"))
+        _matches(index, query_terms(queries).drop("times"), by_page=True)
         .groupBy("query_id", "url", "origin_url", "depth")
         .agg(
             F.sum(TERM_WEIGHT * F.col("frequency").cast("bigint") + TERM_BONUS).alias("_gain"),

@@ -7,9 +7,11 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from hopdex.llm import common, decontaminate
+from hopdex.operators import search
 from hopdex.operators.index import dedup_entries
 from hopdex.operators.search import _matches, query_terms
 from hopdex.schemas import WORD_ENTRIES
+from hopdex.session import stage
 
 
 def plan_lines(df):
@@ -41,6 +43,30 @@ def test_postings_meet_by_page_before_the_queries_multiply_them(spark):
     assert sorted(sums[0].collect()) == sorted(sums[1].collect())
 
 
+def test_entries_meet_by_page_and_origin_before_the_queries_multiply_them(spark, monkeypatch):
+    plans = {}
+
+    def staged(df, purpose):
+        plans[purpose] = plan_lines(df)
+        return stage(df, purpose)
+
+    monkeypatch.setattr(search, "stage", staged)
+    rows = [(f"t{n % 5}", f"u{n % 7}", f"o{n % 2}", n % 3, 1 + n % 4) for n in range(210)]
+    entries = spark.createDataFrame(sorted(set(rows)), WORD_ENTRIES)
+    asked = spark.createDataFrame([("q1", "t1 t2 t2"), ("q2", "t1 t9"), (None, None)], "query_id string, text string")
+    pages = spark.createDataFrame([("u1", "One"), ("u2", "")], "url string, title string")
+    found = {tuple(r)[:5] for r in search.search_relevance(asked, entries, pages).drop("title", "frequency").collect()}
+    wanted = {}
+    for term, url, origin, depth, frequency in set(rows):
+        for query in {"t1": ("q1", "q2"), "t2": ("q1",)}.get(term, ()):
+            key = query, url, origin, depth
+            wanted[key] = wanted.get(key, -5 * depth) + 10 * frequency + 1000
+    assert found == {(*key, score) for key, score in wanted.items()}
+    shuffles = [line for line in plans["scored"] if "hashpartitioning(" in line]
+    assert not [line for line in shuffles if "hashpartitioning(query_id" in line]
+    assert len([line for line in shuffles if "hashpartitioning(url#" in line and "origin_url#" in line]) == 1
+
+
 def peak_of(step):
     """(result, bytes held at most, bytes held after) of a call."""
     tracemalloc.start()
