@@ -76,3 +76,12 @@ def test_myers():
 def test_pieces():
     assert "".join(p for _, p in pieces_of("abcdefghij", 3)) == "abcdefghij"
     assert len(pieces_of("abcdefghij", 3)) == 4
+
+
+def test_distance_up_to_a_bound():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abé") for _ in range(rng.randint(1, 14))) for _ in range(2))
+        whole, most = Pattern(a, 0).distance(b), rng.randrange(12)
+        near = Pattern(a, 0).distance(b, most)
+        assert near == whole if whole <= most else near > most
